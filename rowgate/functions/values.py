@@ -47,15 +47,15 @@ def plain_number(text: Column) -> Parsed:
 def minor_units(text: Column) -> Parsed:
     """Money with at most two decimals as a count of hundredths.
 
-    A double holds the count exactly up to 2**53 and follows IEEE rounding
-    beyond, which is what the checked sums are defined on.
+    The count is the double ``whole * 100 + cents``. Up to 15 characters the
+    rounded product is the same integer and needs a single conversion.
     """
     shaped = text.rlike(MONEY)
     whole = F.substring_index(text, ".", 1)
     cents = F.rpad(F.substr(text, F.length(whole) + 2), 2, "0")
     value = F.when(
-        shaped, whole.try_cast("double") * 100 + cents.try_cast("double")
-    )
+        shaped & (F.length(text) <= 15), F.rint(text.try_cast("double") * 100)
+    ).when(shaped, whole.try_cast("double") * 100 + cents.try_cast("double"))
     return Parsed(value, ~shaped, F.lit(False))
 
 

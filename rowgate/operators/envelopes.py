@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowgate.functions import variants as V
+from rowgate.functions.boundary import with_computed
 from rowgate.functions.ids import import_id
 
 # CloudEvents header names.
@@ -61,12 +62,13 @@ class _Reasons:
 
 def _with_body(envelopes: DataFrame, max_body_bytes: int) -> DataFrame:
     small = F.octet_length("body") <= max_body_bytes
-    return envelopes.withColumns(
+    return with_computed(
+        envelopes,
         {
             "cloud_event_id": V.first_header(F.col("headers"), EVENT_ID_HEADER),
             "_type": V.first_header(F.col("headers"), EVENT_TYPE_HEADER),
             "_body": F.when(small, V.parse_json(F.col("body"))),
-        }
+        },
     )
 
 
@@ -79,13 +81,14 @@ def decode_storage_events(envelopes: DataFrame, spec: StorageSpec) -> DataFrame:
     keep = envelopes.columns
     read = _with_body(envelopes, spec.max_body_bytes)
     body = F.col("_body")
-    typed = read.withColumns(
+    typed = with_computed(
+        read,
         {
             "bucket_name": V.required_string(V.member(body, "bucket")),
             "object_name": V.required_string(V.member(body, "name")),
             "object_generation": V.required_string(V.member(body, "generation")),
             "size_bytes": V.safe_size(V.member(body, "size")),
-        }
+        },
     )
     # The reasons, in the order of the checks.
     reasons = _Reasons()
@@ -103,7 +106,7 @@ def decode_storage_events(envelopes: DataFrame, spec: StorageSpec) -> DataFrame:
     reasons.unless(
         F.col("size_bytes").isNotNull(), "Missing or invalid Storage event field: size"
     )
-    decoded = typed.withColumn("reason", reasons.first())
+    decoded = with_computed(typed, {"reason": reasons.first()})
     return decoded.select(
         *keep,
         "cloud_event_id",
@@ -121,31 +124,34 @@ def decode_storage_events(envelopes: DataFrame, spec: StorageSpec) -> DataFrame:
 def decode_messages(envelopes: DataFrame, spec: MessageSpec) -> DataFrame:
     """Bus messages as typed events, with ``reason``.
 
-    The steps are separate projections so that each level of JSON is parsed
-    once: envelope, message, payload.
+    The steps are separate so that each level of JSON is parsed once: envelope,
+    message, payload.
     """
     keep = envelopes.columns
     read = _with_body(envelopes, spec.max_body_bytes)
-    opened = read.withColumn("_message", V.member(F.col("_body"), "message"))
+    opened = with_computed(read, {"_message": V.member(F.col("_body"), "message")})
     message = F.col("_message")
-    parts = opened.withColumns(
+    parts = with_computed(
+        opened,
         {
             "message_id": V.required_string(V.member(message, "messageId")),
             "_data": V.required_string(V.member(message, "data")),
             "_attributes": V.member(message, "attributes"),
             "_publish_time": V.member(message, "publishTime"),
-        }
+        },
     )
-    parsed = parts.withColumns(
+    parsed = with_computed(
+        parts,
         {
             "_payload": V.parse_json(V.base64_text(F.col("_data"))),
             "_members": V.string_map(F.col("_attributes")),
             "publish_time": V.required_string(F.col("_publish_time")),
-        }
+        },
     )
     payload = F.col("_payload")
     no_attributes = F.create_map().cast("map<string,string>")
-    typed = parsed.withColumns(
+    typed = with_computed(
+        parsed,
         {
             "attributes": F.when(F.col("_attributes").isNull(), no_attributes).when(
                 V.all_strings(F.col("_members")), V.string_members(F.col("_members"))
@@ -153,7 +159,7 @@ def decode_messages(envelopes: DataFrame, spec: MessageSpec) -> DataFrame:
             "event_type": V.string_value(V.member(payload, "eventType")),
             **{c: V.required_string(V.member(payload, m)) for m, c in spec.strings},
             **{c: V.non_negative_integer(V.member(payload, m)) for m, c in spec.counts},
-        }
+        },
     )
 
     def attribute_agrees(name: str, column: str) -> Column:
@@ -197,7 +203,7 @@ def decode_messages(envelopes: DataFrame, spec: MessageSpec) -> DataFrame:
         F.col("_publish_time").isNull() | F.col("publish_time").isNotNull(),
         "publishTime is required",
     )
-    decoded = typed.withColumn("reason", reasons.first())
+    decoded = with_computed(typed, {"reason": reasons.first()})
     return decoded.select(
         *keep,
         "cloud_event_id",

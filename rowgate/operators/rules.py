@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgate.functions.text import blank_to_null
+from rowgate.functions.boundary import with_computed
+from rowgate.functions.text import blank_to_null, only_spaces_trim
 from rowgate.functions.values import (
     differs_by_more_than,
     iso_date,
@@ -91,7 +92,8 @@ class _ParsedField(Rule):
             f"{self.field} is required" if self.required else None,
         )
         broken = _value(self.field).isNull()
-        chain = chain.when(broken & parsed.malformed, f"{self.field} {malformed}")
+        if impossible != malformed:
+            chain = chain.when(broken & parsed.malformed, f"{self.field} {malformed}")
         return [chain.when(broken, f"{self.field} {impossible}")]
 
 
@@ -234,8 +236,11 @@ def validate(
     Rows where ``skip`` holds get ``skip_message`` as their only error (C6).
     """
     keep = rows.columns
-    normalised = rows.withColumns(
-        {_TEXT.format(f): blank_to_null(read(f)) for f in ruleset.fields}
+    looked_at = rows.withColumn(
+        "_plain", only_spaces_trim(*(read(f) for f in ruleset.fields))
+    )
+    normalised = looked_at.withColumns(
+        {_TEXT.format(f): blank_to_null(read(f), F.col("_plain")) for f in ruleset.fields}
     )
     typed = normalised.withColumns(
         {_VALUE.format(f): v for f, v in ruleset.typed().items()}
@@ -243,7 +248,7 @@ def validate(
     joined = F.concat_ws(_SEPARATOR, *ruleset.messages())
     if skip is not None:
         joined = F.when(skip, F.lit(skip_message)).otherwise(joined)
-    checked = typed.select(*keep, joined.alias("_messages"))
+    checked = with_computed(typed, {"_messages": joined})
     messages = F.col("_messages")
     no_errors = F.array().cast("array<string>")
     return checked.select(

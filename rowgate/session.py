@@ -8,24 +8,39 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# The JVM does not compile methods above 8,000 bytes of code, and a rule set
+# fused into one generated method is larger. Below this limit Spark keeps such a
+# stage as separate projections whose code it splits into small methods.
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+STARTUP_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    **RUNTIME_SETTINGS,
+}
+
+
 def build_session(
     app_name: str = "rowgate", master: str | None = None, **conf: str
 ) -> SparkSession:
-    """A session with UTC timestamps and adaptive execution; ``conf`` overrides."""
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        **conf,
-    }
+    """A session with the settings the library wants; ``conf`` overrides."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in settings.items():
+    for key, value in {**STARTUP_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings that may change on a running session."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
