@@ -8,7 +8,7 @@ the line number arithmetic: no window, one narrow projection.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowgate import energy
@@ -103,7 +103,7 @@ def csv_files(spark: SparkSession, sf_dir: str, damaged: bool = True) -> DataFra
     fields = list(energy.CSV_FIELDS)
     swapped = list(reversed(fields))
 
-    def line(order: list[str], area) -> F.Column:
+    def line(order: list[str], area) -> Column:
         return F.concat_ws(
             ",", *(area if name == "grid_area" else F.col(name) for name in order)
         )
@@ -115,10 +115,16 @@ def csv_files(spark: SparkSession, sf_dir: str, damaged: bool = True) -> DataFra
             F.concat(F.lit('"'), F.col("grid_area"), F.lit(', ""x""\r\nb"')),
         ).otherwise(area)
     backwards = F.col("object_name").endswith("-3.csv") & F.lit(damaged)
-    text = F.when(backwards, line(swapped, area)).otherwise(line(fields, area))
+
+    def either(cut: int) -> Column:
+        return F.when(backwards, line(swapped[:cut], area)).otherwise(
+            line(fields[:cut], area)
+        )
+
+    text = either(len(fields))
     if damaged:
         text = (
-            F.when(F.col("k") % 163 == 0, F.substring_index(text, ",", len(fields) - 1))
+            F.when(F.col("k") % 163 == 0, either(len(fields) - 1))
             .when(F.col("k") % 167 == 0, F.concat(text, F.lit(",surplus")))
             .otherwise(text)
         )
