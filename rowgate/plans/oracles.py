@@ -591,5 +591,21 @@ where source_row_number % 10 < 7""",
         "expired_days": f"""{STAGED} select distinct
   cast(ingested_at - source_row_number % 10 * interval 1 day as date) as ingested_date from staged
 where source_row_number % 10 >= 7""",
+        "partitioned_layout": f"""{STAGED} select strftime(period_start, '%Y-%m') as period_month,
+  count(*) as record_count, count(distinct meter_id) as meter_count from staged
+where strftime(period_start, '%Y-%m') between '1996-01' and '1997-12' group by 1""",
+        "stream_ingest": f"""{errors},{IMPORTS}
+select 'run/STAGED/true' as kind, import_id,
+  concat(row_count, '/', valid_row_count, '/', invalid_row_count) as item from counts
+union all
+select concat('row/', source_row_number), import_id,
+  sha256(concat(meter_id, chr(10), period_start, chr(10), period_end)) from checked where errors = ''
+union all
+select concat('error/', source_row_number), import_id, error_id from errs""",
+        "stream_merge": f"""{STAGED} select record_id, {_plain()}, source_import_id, source_row_number,
+  strftime(period_start, '%Y-%m') as period_month from staged
+qualify row_number() over (partition by record_id
+  order by sha256(concat('EnergyImportStaged|', source_import_id)) desc, source_row_number desc) = 1""",
+        "stream_dedup": "select event_id, user_id, event_type, ts from events",
     }
     return sql

@@ -18,7 +18,10 @@ from rowgate.operators import csv_records as csv
 from rowgate.operators import dedup, envelopes, gate, ledger, outbox
 from rowgate.operators import quarantine, reconcile, retention, rules, staging, summary, upsert
 from rowgate.plans import fixtures
-from rowgate.session import tune
+from rowgate.session import scratch_path, tune
+from rowgate.sources import tables
+from rowgate.sources import warehouse as wh
+from rowgate.streaming import audit, ingest, merge
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -694,3 +697,121 @@ def expired_days(spark, sf_dir):
         energy.STAGING_RETENTION_DAYS,
         instant(fixtures.AS_OF),
     )
+
+
+@query
+def partitioned_layout(spark, sf_dir):
+    """Rows written to the curated layout and two years read back."""
+    layout = wh.Warehouse(scratch_path(spark, "layout")).curated
+    rows = wh.with_month(
+        staged(spark, sf_dir, moment(fixtures.AS_OF))
+        .withColumnRenamed("ingested_at", "created_at")
+        .withColumn("updated_at", F.col("created_at"))
+    )
+    tables.replace_load(rows, layout)
+    read = tables.read_table(spark, layout).where(
+        F.col("period_month").between("1996-01", "1997-12")
+    )
+    return read.groupBy("period_month").agg(
+        F.count("*").alias("record_count"), F.countDistinct("meter_id").alias("meter_count")
+    )
+
+
+def _reading_files(spark, sf_dir) -> str:
+    """``readings`` as real CSV files, one per import, below a scratch folder."""
+    path = scratch_path(spark, "upload")
+    (
+        fixtures.readings(spark, sf_dir)
+        .select("object_name", "source_row_number", *energy.CSV_FIELDS)
+        .repartition("object_name")
+        .sortWithinPartitions("object_name", "source_row_number")
+        .drop("source_row_number")
+        .write.partitionBy("object_name")
+        .options(
+            header=True,
+            emptyValue="",
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
+        .csv(path)
+    )
+    return path
+
+
+def _reading_identity(path, _modified):
+    return {
+        "bucket_name": F.lit(fixtures.BUCKET),
+        "object_name": F.regexp_extract(path, "object_name=([^/]+)/", 1),
+        "object_generation": F.lit(fixtures.GENERATION),
+    }
+
+
+def _ingested(spark, sf_dir) -> wh.Warehouse:
+    root = scratch_path(spark, "ingest")
+    warehouse = wh.Warehouse(f"{root}/tables")
+    ingest.start_ingest(
+        spark,
+        _reading_files(spark, sf_dir),
+        warehouse,
+        f"{root}/checkpoint",
+        identity=_reading_identity,
+    ).awaitTermination()
+    return warehouse
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """Files as a stream, all resulting tables."""
+    warehouse = _ingested(spark, sf_dir)
+    runs = wh.runs_of(spark, warehouse).select(
+        F.concat_ws(
+            "/", F.lit("run"), "status", F.col("staged_event_published_at").isNotNull().cast("string")
+        ).alias("kind"),
+        "import_id",
+        F.concat_ws("/", "row_count", "valid_row_count", "invalid_row_count").alias("item"),
+    )
+    staged_side = wh.committed_staging(spark, warehouse).select(
+        F.concat_ws("/", F.lit("row"), "source_row_number").alias("kind"),
+        F.col("source_import_id").alias("import_id"),
+        F.col("record_id").alias("item"),
+    )
+    error_side = wh.committed_errors(spark, warehouse).select(
+        F.concat_ws("/", F.lit("error"), "source_row_number").alias("kind"),
+        "import_id",
+        F.col("error_id").alias("item"),
+    )
+    return runs.unionByName(staged_side).unionByName(error_side)
+
+
+@query
+def stream_merge(spark, sf_dir):
+    """The curated table after ingest and merge streams."""
+    warehouse = _ingested(spark, sf_dir)
+    merge.start_merge(spark, warehouse, f"{warehouse.root}/../merge").awaitTermination()
+    curated = tables.read_table(spark, warehouse.curated)
+    return as_plain(curated.drop("created_at", "updated_at"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Every event delivered twice, kept once."""
+    source = f"{sf_dir.rstrip('/')}/events.parquet"
+    root = scratch_path(spark, "dedup")
+    delivered = (
+        spark.readStream.schema(spark.read.parquet(source).schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+        .withColumn("event_time", F.col("ts").cast("timestamp"))
+        .withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
+    )
+    once = audit.drop_repeated(delivered, "event_time", "40 days")
+    (
+        once.select("event_id", "user_id", "event_type", "ts")
+        .writeStream.format("parquet")
+        .option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.parquet(f"{root}/out")
