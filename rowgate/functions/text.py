@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters ECMAScript treats as white space or line ends.
@@ -25,24 +27,44 @@ def ecma_trim(value: Column) -> Column:
     return F.trim(value, F.lit(ECMA_WHITESPACE))
 
 
-def only_spaces_trim(*values: Column) -> Column:
-    """Whether a plain trim is enough for all of these texts.
+def blank_to_null(value: Column) -> Column:
+    """Trimmed text, or null when nothing is left."""
+    return F.nullif(ecma_trim(value), F.lit(""))
 
-    One look at a whole row: trimming by character set costs several times a
-    plain trim, and hardly any row needs it.
-    """
-    return F.concat_ws("", *values).rlike(_PRINTABLE_ASCII)
+
+def quoted_name(name: str) -> str:
+    """A column name for use inside expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quoted_text(text: str) -> str:
+    """A string literal for use inside expression text."""
+    return "'" + "".join(f"\\u{ord(c):04x}" if c in _ESCAPED else c for c in text) + "'"
+
+
+_ESCAPED = ECMA_WHITESPACE.replace(" ", "") + "'\\"
 
 
-def blank_to_null(value: Column, plain: Column | None = None) -> Column:
-    """Trimmed text, or null when nothing is left.
+def with_normalised(
+    df: DataFrame, names: Sequence[str], target: str = "{}"
+) -> DataFrame:
+    """Every named text column through ``blank_to_null``, stored as ``target``.
 
-    ``plain`` is a column from :func:`only_spaces_trim` that covers ``value``.
+    One look at the whole row decides how to trim it: trimming by character set
+    costs several times a plain trim, and hardly any row needs it.
     """
-    trimmed = ecma_trim(value)
-    if plain is not None:
-        trimmed = F.when(plain, F.trim(value)).otherwise(trimmed)
-    return F.nullif(trimmed, F.lit(""))
+    keep = df.columns
+    plain = F.concat_ws("", *names).rlike(_PRINTABLE_ASCII)
+    white = quoted_text(ECMA_WHITESPACE)
+    trimmed = {
+        target.format(name): F.expr(
+            f"nullif(case when _plain then trim({quoted_name(name)}) "
+            f"else trim(both {white} from {quoted_name(name)}) end, '')"
+        )
+        for name in names
+    }
+    added = [name for name in trimmed if name not in keep]
+    return df.withColumn("_plain", plain).withColumns(trimmed).select(*keep, *added)
 
 
 def has_suffix(value: Column, suffix: str) -> Column:

@@ -1,6 +1,6 @@
-"""Declarative row validation compiled to columns.
+"""Declarative row validation compiled to expressions.
 
-A :class:`RuleSet` is an ordered list of rules over text fields. ``validate``
+A :class:`RuleSet` is an ordered list of rules over text columns. ``validate``
 turns it into three narrow projections (normalised text, typed values, messages)
 with no shuffle and no Python per row. All broken rules of a row are reported,
 in rule order.
@@ -8,20 +8,16 @@ in rule order.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowgate.functions import values
 from rowgate.functions.boundary import with_computed
-from rowgate.functions.text import blank_to_null, only_spaces_trim
-from rowgate.functions.values import (
-    differs_by_more_than,
-    iso_date,
-    minor_units,
-    plain_number,
-)
+from rowgate.functions.text import quoted_name, quoted_text, with_normalised
 
 # Separates messages while they travel as one string: string concatenation keeps
 # the rules in generated code, where array filtering would not.
@@ -30,12 +26,16 @@ _TEXT = "_text_{}"
 _VALUE = "_value_{}"
 
 
-def _text(field: str) -> Column:
-    return F.col(_TEXT.format(field))
+def _text(field: str) -> str:
+    return quoted_name(_TEXT.format(field))
 
 
-def _value(field: str) -> Column:
-    return F.col(_VALUE.format(field))
+def _value(field: str) -> str:
+    return quoted_name(_VALUE.format(field))
+
+
+def _message(condition: str, wording: str) -> str:
+    return f"case when {condition} then {quoted_text(wording)} end"
 
 
 @dataclass(frozen=True)
@@ -45,12 +45,12 @@ class Rule:
     def fields(self) -> Sequence[str]:
         return ()
 
-    def typed(self) -> dict[str, Column]:
+    def typed(self) -> dict[str, str]:
         """Typed values this rule makes available to the rules after it."""
         return {}
 
-    def messages(self) -> list[Column]:
-        """One column per possible message; null where the row is fine."""
+    def message(self) -> str:
+        """Expression for the rule's message; null where the row is fine."""
         raise NotImplementedError
 
 
@@ -63,74 +63,78 @@ class Required(Rule):
     def fields(self):
         return (self.field,)
 
-    def messages(self):
-        return [F.when(_text(self.field).isNull(), f"{self.field} is required")]
+    def message(self):
+        return _message(f"{_text(self.field)} is null", f"{self.field} is required")
 
 
 @dataclass(frozen=True)
 class _ParsedField(Rule):
+    """A field that must parse; the first thing wrong with it is reported."""
+
     field: str
     required: bool = True
 
+    form: ClassVar[str]
+    malformed: ClassVar[str]
+    impossible: ClassVar[str | None] = None
+
     def fields(self):
         return (self.field,)
 
-    def _parse(self):
-        raise NotImplementedError
-
-    def _wordings(self) -> tuple[str, str]:
+    def _parse(self) -> str:
         raise NotImplementedError
 
     def typed(self):
-        return {self.field: self._parse().value}
-
-    def messages(self):
-        parsed = self._parse()
-        malformed, impossible = self._wordings()
-        chain = F.when(
-            _text(self.field).isNull(),
-            f"{self.field} is required" if self.required else None,
-        )
-        broken = _value(self.field).isNull()
-        if impossible != malformed:
-            chain = chain.when(broken & parsed.malformed, f"{self.field} {malformed}")
-        return [chain.when(broken, f"{self.field} {impossible}")]
+        return {self.field: self._parse()}
+
+    def message(self):
+        text, value = _text(self.field), _value(self.field)
+        missing = quoted_text(f"{self.field} is required") if self.required else "null"
+        malformed = quoted_text(f"{self.field} {self.malformed}")
+        if self.impossible is None:
+            wrong = f"when {value} is null then {malformed}"
+        else:
+            wrong = (
+                f"when {value} is null and not {values.has_form(text, self.form)} "
+                f"then {malformed} when {value} is null "
+                f"then {quoted_text(f'{self.field} {self.impossible}')}"
+            )
+        return f"case when {text} is null then {missing} {wrong} end"
 
 
 @dataclass(frozen=True)
 class DateField(_ParsedField):
     """A real calendar day written YYYY-MM-DD."""
 
-    def _parse(self):
-        return iso_date(_text(self.field))
+    form = values.ISO_DATE
+    malformed = "must use YYYY-MM-DD"
+    impossible = "must be a valid date"
 
-    def _wordings(self):
-        return "must use YYYY-MM-DD", "must be a valid date"
+    def _parse(self):
+        return values.iso_date(_text(self.field))
 
 
 @dataclass(frozen=True)
 class NumberField(_ParsedField):
     """A finite, non-negative number in plain decimal notation."""
 
-    def _parse(self):
-        return plain_number(_text(self.field))
+    form = values.PLAIN_NUMBER
+    malformed = "must be a non-negative number"
+    impossible = "must be a finite number"
 
-    def _wordings(self):
-        return "must be a non-negative number", "must be a finite number"
+    def _parse(self):
+        return values.plain_number(_text(self.field))
 
 
 @dataclass(frozen=True)
 class MoneyField(_ParsedField):
-    """A non-negative amount with at most two decimals, held in minor units."""
+    """A non-negative SEK amount with at most two decimals, held in minor units."""
 
-    currency: str = "SEK"
+    form = values.MONEY
+    malformed = "must be a non-negative SEK amount with max 2 decimals"
 
     def _parse(self):
-        return minor_units(_text(self.field))
-
-    def _wordings(self):
-        wording = f"must be a non-negative {self.currency} amount with max 2 decimals"
-        return wording, wording
+        return values.minor_units(_text(self.field))
 
 
 @dataclass(frozen=True)
@@ -140,13 +144,11 @@ class NotAfter(Rule):
     first: str
     second: str
 
-    def messages(self):
-        return [
-            F.when(
-                _value(self.first) > _value(self.second),
-                f"{self.first} must be on or before {self.second}",
-            )
-        ]
+    def message(self):
+        return _message(
+            f"{_value(self.first)} > {_value(self.second)}",
+            f"{self.first} must be on or before {self.second}",
+        )
 
 
 @dataclass(frozen=True)
@@ -156,13 +158,11 @@ class AtLeast(Rule):
     field: str
     floor: str
 
-    def messages(self):
-        return [
-            F.when(
-                _value(self.field) < _value(self.floor),
-                f"{self.field} must be at least {self.floor}",
-            )
-        ]
+    def message(self):
+        return _message(
+            f"{_value(self.field)} < {_value(self.floor)}",
+            f"{self.field} must be at least {self.floor}",
+        )
 
 
 @dataclass(frozen=True)
@@ -175,14 +175,12 @@ class MatchesDifference(Rule):
     tolerance: float
     wording: str
 
-    def messages(self):
-        gap = _value(self.end) - _value(self.start)
-        return [
-            F.when(
-                differs_by_more_than(gap, _value(self.field), self.tolerance),
-                f"{self.field} {self.wording}",
-            )
-        ]
+    def message(self):
+        gap = f"{_value(self.end)} - {_value(self.start)}"
+        return _message(
+            values.differs_by_more_than(gap, _value(self.field), self.tolerance),
+            f"{self.field} {self.wording}",
+        )
 
 
 @dataclass(frozen=True)
@@ -193,16 +191,12 @@ class MatchesSum(Rule):
     parts: tuple[str, ...]
     tolerance: float = 1.0
 
-    def messages(self):
-        summed = _value(self.parts[0])
-        for part in self.parts[1:]:
-            summed = summed + _value(part)
-        return [
-            F.when(
-                differs_by_more_than(_value(self.total), summed, self.tolerance),
-                f"{self.total} does not match its cost components",
-            )
-        ]
+    def message(self):
+        summed = " + ".join(_value(part) for part in self.parts)
+        return _message(
+            values.differs_by_more_than(_value(self.total), summed, self.tolerance),
+            f"{self.total} does not match its cost components",
+        )
 
 
 @dataclass(frozen=True)
@@ -217,35 +211,29 @@ class RuleSet:
         return list(dict.fromkeys(f for rule in self.rules for f in rule.fields()))
 
     def typed(self) -> dict[str, Column]:
-        return {name: value for rule in self.rules for name, value in rule.typed().items()}
+        found = {k: v for rule in self.rules for k, v in rule.typed().items()}
+        return {_VALUE.format(field): F.expr(value) for field, value in found.items()}
 
-    def messages(self) -> list[Column]:
-        return [message for rule in self.rules for message in rule.messages()]
+    def messages(self) -> Column:
+        """All messages of a row, one per line; empty for a valid row."""
+        parts = ", ".join(rule.message() for rule in self.rules)
+        return F.expr(f"concat_ws({quoted_text(_SEPARATOR)}, {parts})")
 
 
 def validate(
     rows: DataFrame,
     ruleset: RuleSet,
-    read: Callable[[str], Column] = F.col,
     skip: Column | None = None,
     skip_message: str | None = None,
 ) -> DataFrame:
     """``rows`` plus ``errors`` (array<string>, in rule order) and ``valid``.
 
-    ``read`` says where a field's text lives, a column of that name by default.
     Rows where ``skip`` holds get ``skip_message`` as their only error (C6).
     """
     keep = rows.columns
-    looked_at = rows.withColumn(
-        "_plain", only_spaces_trim(*(read(f) for f in ruleset.fields))
-    )
-    normalised = looked_at.withColumns(
-        {_TEXT.format(f): blank_to_null(read(f), F.col("_plain")) for f in ruleset.fields}
-    )
-    typed = normalised.withColumns(
-        {_VALUE.format(f): v for f, v in ruleset.typed().items()}
-    )
-    joined = F.concat_ws(_SEPARATOR, *ruleset.messages())
+    normalised = with_normalised(rows, ruleset.fields, _TEXT)
+    typed = normalised.withColumns(ruleset.typed())
+    joined = ruleset.messages()
     if skip is not None:
         joined = F.when(skip, F.lit(skip_message)).otherwise(joined)
     checked = with_computed(typed, {"_messages": joined})

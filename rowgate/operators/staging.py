@@ -7,22 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgate.functions.ids import record_id
-from rowgate.functions.text import blank_to_null
+from rowgate.functions.ids import digest
+from rowgate.functions.text import quoted_name, with_normalised
 
 
 def fits_types(columns: Sequence[tuple[str, str, bool]]) -> Column:
     """Whether every present text converts to its column's type.
 
     Validation accepts numbers of any length; a table column does not. Such a
-    value must fail its import, never turn into a null.
+    value must fail its import, never turn into a null. Expects normalised text.
     """
-    fits = F.lit(True)
-    for name, kind, _ in columns:
-        if kind != "string":
-            text = blank_to_null(F.col(name))
-            fits = fits & (text.isNull() | text.try_cast(kind).isNotNull())
-    return fits
+    return F.expr(
+        " and ".join(
+            f"({quoted_name(name)} is null or try_cast({quoted_name(name)} as {kind}) is not null)"
+            for name, kind, _ in columns
+            if kind != "string"
+        )
+    )
 
 
 def staging_rows(
@@ -34,10 +35,11 @@ def staging_rows(
     row_number: str = "source_row_number",
 ) -> DataFrame:
     """Typed columns plus record id and provenance; blanks become nulls."""
-    return valid.select(
-        record_id(*(F.col(name) for name in identity)).alias("record_id"),
+    names = [name for name, _, _ in columns]
+    return with_normalised(valid, names).select(
+        digest("\n", *(F.col(name) for name in identity)).alias("record_id"),
         *(
-            blank_to_null(F.col(name)).try_cast(kind).alias(name)
+            F.expr(f"try_cast({quoted_name(name)} as {kind})").alias(name)
             for name, kind, _ in columns
         ),
         F.col(import_id).alias("source_import_id"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowgate import energy
+from rowgate.session import spread
 
 LINES_PER_FILE = 1000
 FILES_PER_DROP = 4
@@ -30,11 +31,13 @@ def _money(cents: str) -> str:
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Import identity, line number and the CSV fields as text."""
     drop = LINES_PER_FILE * FILES_PER_DROP
-    base = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey as k",
-        "o_custkey as c",
-        "o_orderdate as d",
-        "cast(round(o_totalprice * 100) as bigint) as cents",
+    base = spread(
+        table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey as k",
+            "o_custkey as c",
+            "o_orderdate as d",
+            "cast(round(o_totalprice * 100) as bigint) as cents",
+        )
     )
     split = base.selectExpr(
         "*",
@@ -243,7 +246,9 @@ DAMAGE_KINDS = 19
 def message_envelopes(spark: SparkSession, sf_dir: str, completed: bool) -> DataFrame:
     """D3: bus messages; damage kind ``c % 19``, kinds above 16 are sound."""
     event_type = energy.COMPLETED_EVENT if completed else energy.STAGED_EVENT
-    base = table(spark, sf_dir, "customer").selectExpr("c_custkey as c", "c_custkey % 19 as d")
+    base = spread(
+        table(spark, sf_dir, "customer").selectExpr("c_custkey as c", "c_custkey % 19 as d")
+    )
     extra = (
         """'"stagedEventId":"s-', c, '","mergeJobId":"m-', c, '",',""" if completed else ""
     )

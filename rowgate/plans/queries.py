@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rowgate import energy
 from rowgate.functions import ids
-from rowgate.functions.text import blank_to_null
+from rowgate.functions.text import with_normalised
 from rowgate.operators import csv_records as csv
 from rowgate.operators import dedup, envelopes, gate, ledger, outbox
 from rowgate.operators import quarantine, reconcile, retention, rules, staging, summary, upsert
@@ -64,13 +64,18 @@ def parsed_columns():
     return F.create_map(*pairs)
 
 
-def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.validate(fixtures.readings(spark, sf_dir), energy.RULES)
+# Imports of these files count as arriving now, all others as merged before.
+ARRIVING = "object_name like '%-3.csv'"
 
 
-def staged(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
+def validated(spark: SparkSession, sf_dir: str, files: str = "true") -> DataFrame:
+    readings = fixtures.readings(spark, sf_dir).where(files)
+    return rules.validate(readings, energy.RULES)
+
+
+def staged(spark: SparkSession, sf_dir: str, as_of=None, files: str = "true") -> DataFrame:
     return staging.staging_rows(
-        rules.valid_rows(validated(spark, sf_dir)),
+        rules.valid_rows(validated(spark, sf_dir, files)),
         energy.BUSINESS_COLUMNS,
         energy.IDENTITY_FIELDS,
         instant(fixtures.AS_OF) if as_of is None else as_of,
@@ -89,11 +94,8 @@ def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def normalize_rows(spark, sf_dir):
     """Trimmed text, blanks as nulls."""
-    return fixtures.readings(spark, sf_dir).select(
-        "import_id",
-        "source_row_number",
-        *(blank_to_null(F.col(name)).alias(name) for name in energy.CSV_FIELDS),
-    )
+    rows = with_normalised(fixtures.readings(spark, sf_dir), energy.CSV_FIELDS)
+    return rows.select("import_id", "source_row_number", *energy.CSV_FIELDS)
 
 
 @query
@@ -212,13 +214,9 @@ def import_rows(spark, sf_dir):
 
 def _split_for_merge(spark, sf_dir):
     """Staging rows of the imports merged earlier and of those arriving now."""
-    rows = staged(spark, sf_dir)
-    arriving = fixtures.import_files(spark, sf_dir).where(
-        F.col("object_name").endswith("-3.csv")
-    )
-    arriving = arriving.select(F.col("import_id").alias("source_import_id"))
-    return rows.join(arriving, "source_import_id", "left_anti"), upsert.rows_of_imports(
-        rows, arriving
+    return (
+        staged(spark, sf_dir, files=f"not {ARRIVING}"),
+        staged(spark, sf_dir, files=ARRIVING),
     )
 
 

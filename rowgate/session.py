@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # The JVM does not compile methods above 8,000 bytes of code, and a rule set
@@ -41,6 +41,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer splits than there are cores.
+
+    For CPU-heavy work on a small table. A scan with enough splits, and so every
+    large one, is left alone and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

@@ -159,7 +159,7 @@ def merge_batch(
                 "have the declared number of staging rows"
             )
     finally:
-        for df in held:
+        for df in reversed(held):
             df.unpersist()
 
 
