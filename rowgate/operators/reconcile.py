@@ -16,14 +16,10 @@ def staged_counts(staging: DataFrame) -> DataFrame:
 def reconcile(events: DataFrame, staging: DataFrame) -> DataFrame:
     """Staged events plus the actual count (0 when nothing is there) and ``matches``.
 
-    Only the imports the events name are counted.
+    Counted before joined: an import of any size reaches the join as one row.
     """
-    named = events.select(F.col("import_id").alias("source_import_id")).distinct()
-    counts = staged_counts(
-        staging.select("source_import_id").join(named, "source_import_id", "left_semi")
-    )
     actual = F.coalesce("staging_row_count", F.lit(0).cast("bigint"))
-    return events.join(counts, "import_id", "left").select(
+    return events.join(staged_counts(staging), "import_id", "left").select(
         *events.columns,
         actual.alias("staging_row_count"),
         (actual == F.col("valid_row_count")).alias("matches"),

@@ -11,19 +11,25 @@ from rowgate.functions.ids import digest
 from rowgate.functions.text import quoted_name, with_normalised
 
 
+def _fits(name: str, kind: str) -> str:
+    text = quoted_name(name)
+    fits = f"{text} is null or try_cast({text} as {kind}) is not null"
+    if kind.startswith("decimal"):
+        precision, scale = map(int, kind[len("decimal(") : -1].split(","))
+        # Short digits always fit; converting to a wide decimal is the slow part.
+        fits = f"length({text}) <= {precision - scale} or {fits}"
+    return f"({fits})"
+
+
 def fits_types(columns: Sequence[tuple[str, str, bool]]) -> Column:
     """Whether every present text converts to its column's type.
 
     Validation accepts numbers of any length; a table column does not. Such a
-    value must fail its import, never turn into a null. Expects normalised text.
+    value must fail its import, never turn into a null. For valid rows of
+    normalised text.
     """
-    return F.expr(
-        " and ".join(
-            f"({quoted_name(name)} is null or try_cast({quoted_name(name)} as {kind}) is not null)"
-            for name, kind, _ in columns
-            if kind != "string"
-        )
-    )
+    tests = [_fits(name, kind) for name, kind, _ in columns if kind != "string"]
+    return F.expr(" and ".join(tests))
 
 
 def staging_rows(

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rowgate import energy
 from rowgate.operators import envelopes
-from rowgate.sources.tables import replace_load
 from rowgate.sources.warehouse import COMPLETED_TOPIC, Warehouse
 from rowgate.streaming.batches import Batch, batch_of
-from rowgate.streaming.merge import store_rejected, stream_messages
+from rowgate.streaming.merge import store_audit, store_rejected, stream_messages
 
 RECEIVED = "energy_import_completed_received"
 
@@ -19,10 +17,7 @@ def audit_batch(delivered: DataFrame, warehouse: Warehouse, batch: Batch) -> Non
     decoded = envelopes.decode_messages(delivered, energy.COMPLETED_EVENTS).persist()
     try:
         store_rejected(decoded, warehouse, batch)
-        records = envelopes.audit_records(
-            envelopes.accepted(decoded), RECEIVED, batch.as_of
-        )
-        replace_load(records.withColumn("load", F.lit(batch.name)), warehouse.audit)
+        store_audit(decoded, warehouse, RECEIVED, batch)
     finally:
         decoded.unpersist()
 

@@ -24,7 +24,9 @@ from rowgate.sources.warehouse import (
     runs_of,
     with_month,
 )
-from rowgate.streaming.batches import Batch, RetryLater, batch_of, bounded
+from rowgate.streaming.batches import Batch, RetryLater, batch_of, bounded, pinned
+
+RECEIVED = "energy_import_staged_received"
 
 
 def stream_messages(spark: SparkSession, warehouse: Warehouse, topic: str) -> DataFrame:
@@ -40,6 +42,14 @@ def store_rejected(decoded: DataFrame, warehouse: Warehouse, batch: Batch) -> No
     replace_load(refused, warehouse.rejected)
 
 
+def store_audit(
+    decoded: DataFrame, warehouse: Warehouse, event: str, batch: Batch
+) -> None:
+    """P10: one record per accepted event, kept once per batch as well."""
+    records = envelopes.audit_records(envelopes.accepted(decoded), event, batch.as_of)
+    replace_load(records.withColumn("load", F.lit(batch.name)), warehouse.audit)
+
+
 def _append(warehouse: Warehouse, outcomes: DataFrame) -> None:
     append_log(ledger.applied_runs(outcomes), warehouse.runs)
 
@@ -49,30 +59,27 @@ def publish_completed(
 ) -> None:
     """S10, T14, T15."""
     runs = runs_of(spark, warehouse, imports)
-    waiting = ledger.unpublished_completed(runs).persist()
-    try:
-        if waiting.isEmpty():
-            return
-        events = outbox.build_events(
-            waiting.withColumn("staged_event_id", F.col("processed_staged_event_id")),
-            energy.COMPLETED_EVENT,
-            outbox.COMPLETED_PAYLOAD,
-            batch.as_of,
-        )
-        append_log(
-            outbox.published_messages(events, outbox.COMPLETED_PAYLOAD),
-            warehouse.messages(COMPLETED_TOPIC),
-        )
-        _append(
-            warehouse,
-            ledger.transition(
-                events.select("import_id", "event_id"),
-                waiting,
-                ledger.completed_event_published(batch.as_of),
-            ),
-        )
-    finally:
-        waiting.unpersist()
+    waiting = pinned(ledger.unpublished_completed(runs))
+    if waiting.isEmpty():
+        return
+    events = outbox.build_events(
+        waiting.withColumn("staged_event_id", F.col("processed_staged_event_id")),
+        energy.COMPLETED_EVENT,
+        outbox.COMPLETED_PAYLOAD,
+        batch.as_of,
+    )
+    append_log(
+        outbox.published_messages(events, outbox.COMPLETED_PAYLOAD),
+        warehouse.messages(COMPLETED_TOPIC),
+    )
+    _append(
+        warehouse,
+        ledger.transition(
+            events.select("import_id", "event_id"),
+            waiting,
+            ledger.completed_event_published(batch.as_of),
+        ),
+    )
 
 
 def merge_batch(
@@ -95,6 +102,7 @@ def merge_batch(
     try:
         decoded = hold(envelopes.decode_messages(delivered, energy.STAGED_EVENTS))
         store_rejected(decoded, warehouse, batch)
+        store_audit(decoded, warehouse, RECEIVED, batch)
         events = hold(
             dedup.latest_per_key(
                 envelopes.accepted(decoded), ["event_id"], ["message_id"]
@@ -108,7 +116,7 @@ def merge_batch(
                 ),
             )
         )
-        known = hold(runs_of(spark, warehouse, events))
+        known = pinned(runs_of(spark, warehouse, events))
         outcomes = hold(ledger.transition(events, known, ledger.completed(as_of)))
         ready = (
             outcomes.where(F.col("outcome") == ledger.APPLIED)
