@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from rowgate import energy
 from rowgate.operators import envelopes
 from rowgate.sources.warehouse import COMPLETED_TOPIC, Warehouse
-from rowgate.streaming.batches import Batch, batch_of
-from rowgate.streaming.merge import store_audit, store_rejected, stream_messages
+from rowgate.streaming.batches import Batch, batch_of, store_audit, store_rejected
+from rowgate.streaming.merge import stream_messages
 
 RECEIVED = "energy_import_completed_received"
 

@@ -13,7 +13,6 @@ from rowgate.sources.tables import (
     append_log,
     read_table,
     recover_partitions,
-    replace_load,
     replace_partitions,
     touched_partitions,
 )
@@ -24,7 +23,15 @@ from rowgate.sources.warehouse import (
     runs_of,
     with_month,
 )
-from rowgate.streaming.batches import Batch, RetryLater, batch_of, bounded, pinned
+from rowgate.streaming.batches import (
+    Batch,
+    RetryLater,
+    batch_of,
+    bounded,
+    pinned,
+    store_audit,
+    store_rejected,
+)
 
 RECEIVED = "energy_import_staged_received"
 
@@ -36,20 +43,6 @@ def stream_messages(spark: SparkSession, warehouse: Warehouse, topic: str) -> Da
     return outbox.push_envelopes(found, energy.MESSAGE_TRANSPORT)
 
 
-def store_rejected(decoded: DataFrame, warehouse: Warehouse, batch: Batch) -> None:
-    """Malformed events are kept once per batch, however often it runs."""
-    refused = envelopes.rejected(decoded).withColumn("load", F.lit(batch.name))
-    replace_load(refused, warehouse.rejected)
-
-
-def store_audit(
-    decoded: DataFrame, warehouse: Warehouse, event: str, batch: Batch
-) -> None:
-    """P10: one record per accepted event, kept once per batch as well."""
-    records = envelopes.audit_records(envelopes.accepted(decoded), event, batch.as_of)
-    replace_load(records.withColumn("load", F.lit(batch.name)), warehouse.audit)
-
-
 def _append(warehouse: Warehouse, outcomes: DataFrame) -> None:
     append_log(ledger.applied_runs(outcomes), warehouse.runs)
 

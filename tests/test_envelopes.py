@@ -157,3 +157,14 @@ def test_published_events_come_back_through_the_envelope(spark):
     assert row.reason is None and row.import_id == "import-1"
     record = outbox.kafka_records(messages).first()
     assert {h.key: bytes(h.value).decode() for h in record.headers} == row.attributes
+
+
+def test_reported_counts(spark):
+    from rowgate.functions import values, variants
+
+    texts = ["6", " 6 ", "0", "", "-1", "1.5", "x", "9007199254740993", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    got = [r[0] for r in frame.select(variants.safe_count(F.col("t"))).collect()]
+    assert got == [6, 6, 0, 0, None, None, None, None, None]
+    zero = frame.select(values.integer_or_zero(F.col("t"))).first()
+    assert zero[0] == 6
