@@ -665,7 +665,7 @@ def outbox_repair(spark, sf_dir):
 
 
 def _aged_staging(spark, sf_dir):
-    """Staging rows whose ingestion is spread over ten days before the reference time."""
+    """Staging rows whose ingestion is spread over the ten days before ``AS_OF``."""
     days = F.col("source_row_number") % 10
     return (
         staged(spark, sf_dir)
