@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rowgate.llm import mixing, sharding, url_reputation
+from rowgate.llm import language, mixing, pseudonyms, sharding, url_reputation, warc
 
-_MODULES = (mixing, sharding, url_reputation)
+_MODULES = (pseudonyms, warc, language, mixing, sharding, url_reputation)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
