@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from rowgate.llm import language, mixing, pseudonyms, sharding, url_reputation, warc
+from rowgate.llm import (
+    language,
+    mixing,
+    pseudonyms,
+    sharding,
+    url_reputation,
+    warc,
+    weighted_minhash,
+)
 
-_MODULES = (pseudonyms, warc, language, mixing, sharding, url_reputation)
+_MODULES = (pseudonyms, warc, language, mixing, sharding, url_reputation, weighted_minhash)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
