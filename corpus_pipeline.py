@@ -1,4 +1,82 @@
-"""Placeholder until the stages are written."""
+"""From raw documents to sharded, mixed training data, stage by stage.
+
+Each stage is written and read again as the next one's documents, so a failure costs
+the stage at hand, and every stage works on all that its predecessor kept.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rowgate.llm import decontamination, language, mixing, sharding, weighted_minhash
+from rowgate.llm.frames import read, written
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; the classifier is fitted on ``docs``.
+
+    Without any labelled text nothing can be recognised and every document is kept.
+    """
+    model = language.fit(docs)
+    if not model.languages:
+        return docs
+    judged = language.predicted(docs.withColumn("_row", F.struct("*")), model)
+    return judged.filter(~F.col("rejected")).select("_row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: that with the smallest doc_id.
+
+    Rows that share the kept doc_id are one document, of which one row stays. Rows
+    without a doc_id belong to no class and stay.
+    """
+    classes = weighted_minhash.near_duplicates(docs)
+    kept = written(classes.filter("doc_id = class_id").groupBy("doc_id").count(), "kept")
+    first = docs.join(kept, "doc_id")
+    once = first.filter("count = 1").select(*docs.columns)
+    # Repeated ids are rare: their rows alone are compared and thinned out.
+    again = first.filter("count > 1").select(*docs.columns)
+    packed = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    again = again.groupBy("doc_id").agg(F.min(packed).alias("_row")).select("_row.*")
+    return once.unionByName(again).unionByName(docs.filter("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item. Rows without a doc_id are searched too."""
+    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(-1).cast("long")))
+    found = decontamination.contaminated(
+        keyed.select(F.col("_key").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark")
+    )
+    dirty = written(found.select(F.col("doc_id").alias("_key")).distinct(), "dirty")
+    return keyed.join(dirty, "_key", "left_anti").drop("_key").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents replicated towards tempered source weights and shuffled."""
+    rates = written(mixing.tempered_rates(docs), "rates")
+    return mixing.mixed(docs, rates).select(*docs.columns)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard; copies of a document share one."""
+    return sharding.assign(docs, "doc_id")
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("sharding", shard),
+]
+
+# A learned classifier and the edit distance are not expressible in SQL.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rowgate.llm import (
+    decontamination,
     language,
     mixing,
     pseudonyms,
@@ -12,7 +13,9 @@ from rowgate.llm import (
     weighted_minhash,
 )
 
-_MODULES = (pseudonyms, warc, language, mixing, sharding, url_reputation, weighted_minhash)
+_MODULES = (
+    pseudonyms, warc, language, mixing, decontamination, sharding, url_reputation, weighted_minhash,
+)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
