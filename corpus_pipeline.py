@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowgate.llm import decontamination, language, mixing, sharding, weighted_minhash
-from rowgate.llm.frames import read, written
+from rowgate.llm.frames import read, shipped, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,11 +64,11 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language", identify_language),
-    ("near_duplicates", drop_near_duplicates),
-    ("decontamination", decontaminate),
-    ("mixing", mix_sources),
-    ("sharding", shard),
+    ("language", shipped(identify_language)),
+    ("near_duplicates", shipped(drop_near_duplicates)),
+    ("decontamination", shipped(decontaminate)),
+    ("mixing", shipped(mix_sources)),
+    ("sharding", shipped(shard)),
 ]
 
 # A learned classifier and the edit distance are not expressible in SQL.

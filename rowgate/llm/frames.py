@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +19,38 @@ from rowgate.session import checkpoint_root
 BROADCAST_ROWS = 20_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Python tasks import the operators' helpers by name. Spark copies the archive to
+    every executor, so nothing has to be installed there.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="rowgate-package-")) / "rowgate_package.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
+def shipped(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``run(spark, ...)`` after ``ship(spark)``."""
+
+    @functools.wraps(run)
+    def start(spark: SparkSession, *rest) -> DataFrame:
+        ship(spark)
+        return run(spark, *rest)
+
+    return start
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,16 +6,19 @@ from rowgate.llm import (
     decontamination,
     language,
     mixing,
+    nn_descent,
     pseudonyms,
+    repeats,
     sharding,
     url_reputation,
     warc,
     weighted_minhash,
 )
+from rowgate.llm.frames import shipped
 
 _MODULES = (
-    pseudonyms, warc, language, mixing, decontamination, sharding, url_reputation, weighted_minhash,
+    repeats, pseudonyms, warc, language, mixing, decontamination, sharding, nn_descent, url_reputation, weighted_minhash,
 )
 
-QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
+QUERIES = {name: shipped(run) for module in _MODULES for name, run in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
