@@ -20,14 +20,18 @@ BROADCAST_ROWS = 20_000
 
 
 _SHIPPED: set[str] = set()
+# Rows of an Arrow batch. Rows here hold whole texts or packed arrays, and a Python
+# task has a few hundred megabytes.
+BATCH_ROWS = "512"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application.
+    """Send this package to the executors, once per application, and bound batches.
 
     Python tasks import the operators' helpers by name. Spark copies the archive to
     every executor, so nothing has to be installed there.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
