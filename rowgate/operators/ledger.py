@@ -212,9 +212,15 @@ def claim(
 
 
 def claimed_runs(
-    claims: DataFrame, runs: DataFrame, owner: Column, as_of: Column, lease_minutes: int
+    claims: DataFrame,
+    runs: DataFrame,
+    owner: Column,
+    as_of: Column,
+    lease_minutes: int,
+    clock: Column | None = None,
 ) -> DataFrame:
-    """The run rows a claim writes."""
+    """The run rows a claim writes; the lease begins at ``clock``, by default ``as_of``."""
+    leased_from = as_of if clock is None else clock
     claimed = claims.where(F.col("decision") == CLAIMED)
 
     def output_status(flag: str) -> Column:
@@ -227,7 +233,7 @@ def claimed_runs(
                 "status": F.lit(PROCESSING),
                 "attempt_number": _new("attempt_number"),
                 "owner_id": owner,
-                "lease_expires_at": as_of + F.make_dt_interval(mins=F.lit(lease_minutes)),
+                "lease_expires_at": leased_from + F.make_dt_interval(mins=F.lit(lease_minutes)),
                 "staging_job_id": _new("staging_job_id"),
                 "staging_job_status": output_status("staging_already_succeeded"),
                 "validation_errors_job_id": _new("validation_errors_job_id"),

@@ -16,6 +16,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 STARTUP_SETTINGS = {
+    # Stream state, such as the ids of weeks of events, belongs on disk, not in the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     **RUNTIME_SETTINGS,
@@ -54,12 +58,18 @@ def spread(df: DataFrame) -> DataFrame:
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is storage every executor can reach. Only where the
-    setting is absent (tests, a laptop) is a temporary folder made.
+    On a cluster this is storage every executor can reach. Only a session that runs
+    in one process may go without the setting: it gets a temporary folder.
     """
     key = "spark.checkpoint.dir"
     root = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(
+                f"{key} must name a folder that driver and executors share; a temporary "
+                f"folder of one machine will not do on {master}"
+            )
         root = tempfile.mkdtemp(prefix="rowgate-")
         spark.conf.set(key, root)
     return root.rstrip("/")

@@ -25,9 +25,10 @@ from rowgate.sources.warehouse import (
 )
 from rowgate.streaming.batches import (
     Batch,
-    RetryLater,
     batch_of,
     bounded,
+    defer,
+    deferred_events,
     pinned,
     store_audit,
     store_rejected,
@@ -43,6 +44,19 @@ def stream_messages(spark: SparkSession, warehouse: Warehouse, topic: str) -> Da
     return outbox.push_envelopes(found, energy.MESSAGE_TRANSPORT)
 
 
+# Names of loads put into a scan's filter; a batch of more scans all partitions.
+LISTED_LOADS = 1000
+
+
+def only_loads(staging: DataFrame, loads: DataFrame) -> DataFrame:
+    """The staging partitions of the given loads, by a filter that prunes the scan.
+
+    A load is one attempt at one ingest batch, so a merge batch names few of them.
+    """
+    names = [r.load for r in loads.select("load").distinct().limit(LISTED_LOADS + 1).collect()]
+    return staging.where(F.col("load").isin(names)) if len(names) <= LISTED_LOADS else staging
+
+
 def _append(warehouse: Warehouse, outcomes: DataFrame) -> None:
     append_log(ledger.applied_runs(outcomes), warehouse.runs)
 
@@ -81,8 +95,8 @@ def merge_batch(
     """Merge the imports that the delivered staged events name.
 
     An event whose import is already completed has no second effect. Events that
-    do not fit the ledger or the staging table raise :class:`RetryLater` once
-    everything else is merged.
+    do not fit the ledger or the staging table are deferred: they are kept whole,
+    offered again with later batches, and given up after ``DEFERRAL_DAYS``.
     """
     held: list[DataFrame] = []
 
@@ -93,7 +107,11 @@ def merge_batch(
     as_of = batch.as_of
     recover_partitions(spark, warehouse.curated, warehouse.pending)
     try:
-        decoded = hold(envelopes.decode_messages(delivered, energy.STAGED_EVENTS))
+        waiting = deferred_events(
+            spark, warehouse, STAGED_TOPIC, F.col("status") == ledger.COMPLETED, batch
+        )
+        offered = pinned(delivered.select("headers", "body").unionByName(waiting))
+        decoded = hold(envelopes.decode_messages(offered, energy.STAGED_EVENTS))
         store_rejected(decoded, warehouse, batch)
         store_audit(decoded, warehouse, RECEIVED, batch)
         events = hold(
@@ -123,7 +141,7 @@ def merge_batch(
                 F.struct("occurred_at", "staged_event_id").alias("arrival"),
             )
         )
-        rows = read_table(spark, warehouse.staging).join(
+        rows = only_loads(read_table(spark, warehouse.staging), loads).join(
             bounded(loads), ["source_import_id", "load"]
         )
         reconciled = hold(reconcile.reconcile(ready.drop("staging_load"), rows))
@@ -152,13 +170,15 @@ def merge_batch(
         _append(warehouse, done)
         publish_completed(spark, warehouse, events.select("import_id"), batch)
 
-        broken = ledger.violations(outcomes).count()
-        unmatched = reconciled.where("not matches").count()
-        if broken or unmatched:
-            raise RetryLater(
-                f"{broken} events do not fit their run, {unmatched} imports do not "
-                "have the declared number of staging rows"
-            )
+        unfit = ledger.violations(outcomes).select(
+            "import_id", F.col("violation").alias("reason")
+        )
+        short = reconciled.where("not matches").select(
+            "import_id", F.lit("the staging rows are not as many as declared").alias("reason")
+        )
+        late = hold(unfit.unionByName(short).dropDuplicates(["import_id"]))
+        kept = decoded.where("reason is null").drop("reason").join(bounded(late), "import_id")
+        defer(spark, warehouse, STAGED_TOPIC, kept, batch)
     finally:
         for df in reversed(held):
             df.unpersist()
