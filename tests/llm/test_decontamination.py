@@ -1,0 +1,112 @@
+import random
+
+import numpy as np
+import pytest
+
+from rowgate.llm import decontamination as d
+from rowgate.llm.shingles import word_hashes
+
+RNG = random.Random(3)
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def edit_distance_in(item, words):
+    """Least edit distance of ``item`` to a run of ``words``, by the plain table."""
+    row = [0] * (len(words) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(words, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+def edited(words, count, rng):
+    words = list(words)
+    for _ in range(count):
+        kind, at = rng.randrange(3), rng.randrange(len(words))
+        if kind == 0:
+            words[at] = f"new{rng.randrange(10_000)}"
+        elif kind == 1:
+            del words[at]
+        else:
+            words.insert(at, f"new{rng.randrange(10_000)}")
+    return words
+
+
+def test_bit_vectors_equal_the_plain_table():
+    rng = random.Random(1)
+    for _ in range(200):
+        item = [rng.randrange(4) for _ in range(rng.randrange(1, 12))]
+        words = [rng.randrange(4) for _ in range(rng.randrange(0, 20))]
+        assert d.substring_edits(item, words)[0] == edit_distance_in(item, words)
+
+
+def test_registered_repetitions_reach_the_recall():
+    assert d.repetitions() <= d.REPETITIONS
+
+
+@pytest.fixture(scope="module")
+def case():
+    items = [" ".join(RNG.choice(WORDS) for _ in range(n)) for n in (8, 15, 23, 40, 40, 60)]
+    rows = []
+    for i in range(80):
+        words = [RNG.choice(WORDS) for _ in range(RNG.randrange(0, 90))]
+        item = items[i % len(items)].split()
+        if i % 2:
+            count = RNG.randrange(0, d.allowed(len(item)) + 3)
+            at = RNG.randrange(len(words) + 1)
+            words[at:at] = edited(item, count, RNG)
+        rows.append((i, " ".join(words)))
+    return items, rows
+
+
+def test_equals_brute_force_up_to_recall(spark, docs, case):
+    items, rows = case
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.edits for r in d.contaminated(docs(rows), benchmark).collect()}
+    truth = {}
+    for doc, text in rows:
+        for k, item in enumerate(items):
+            edits = edit_distance_in(item.split(), text.split())
+            if edits <= d.allowed(len(item.split())):
+                truth[doc, k] = edits
+    assert truth and not found.keys() - truth.keys()
+    assert len(truth.keys() - found.keys()) <= 0.03 * len(truth)
+    assert all(found[k] == truth[k] for k in found)
+
+
+def test_the_filter_loses_no_window(case):
+    items, rows = case
+    made = d.Items.of(list(range(len(items))), items, d.Walks(2), d.EDITS)
+    words, bounds = word_hashes([t for _, t in rows])
+    ends = np.repeat(bounds[1:], np.diff(bounds))
+    left = {(n, int(s)) for n, starts in made.windows(words, ends) for s in starts}
+    for item in made.words:
+        n = len(item)
+        for start in range(len(words)):
+            window = words[start : min(start + n, ends[start])]
+            row = list(range(len(window) + 1))
+            for i, a in enumerate(item.tolist(), 1):
+                new = [i]
+                for j, b in enumerate(window.tolist(), 1):
+                    new.append(min(row[j - 1] + (a != b), row[j] + 1, new[j - 1] + 1))
+                row = new
+            if row[-1] <= d.allowed(n):
+                assert (n, start) in left
+        break
+
+
+def test_edge_rows(spark, docs, monkeypatch):
+    item = " ".join(WORDS[:20])
+    rows = [(1, None), (2, ""), (3, item.upper()), (3, item.upper()), (None, item), (4, "x " * 100_000 + item), (5, "w1 w2")]
+    benchmark = spark.createDataFrame(
+        [(7, item), (8, item), (9, None), (10, "too short"), (None, item)], "item_id long, text string"
+    )
+    monkeypatch.setattr(d, "BLOCK_WORDS", 20)
+    found = d.contaminated(docs(rows), benchmark).collect()
+    got = sorted(((r.doc_id, r.item_id, r.edits, r.first_word) for r in found), key=str)
+    places = [(3, 0), (3, 0), (None, 0), (4, 100_000)]
+    assert got == sorted(((a, k, 0, w) for a, w in places for k in (7, 8, None)), key=str)
+    assert d.contaminated(docs([]), benchmark).collect() == []
+    assert d.contaminated(docs(rows), benchmark.limit(0)).collect() == []

@@ -1,0 +1,64 @@
+import datetime as dt
+import re
+
+import pytest
+
+from rowgate.llm import pseudonyms as p
+
+VALUES = {
+    "card": "4041 8949 7460 8795", "phone": "+1 (988) 555-2485", "ip": "70.123.182.155",
+    "date": "2020-02-29", "ssn": "123-45-6789", "iban": "GB82 WEST 1234 5698 7654 32",
+    "email": "bosbt.42@mail8.example.com", "secret": "token=0641917ea4e9feb9",
+}
+
+
+@pytest.mark.parametrize("size", [2, 7, 10, 1000, 4097])
+def test_permutation_is_one_to_one_and_invertible(size):
+    permute = p.Permutation("key", "tweak", size)
+    assert sorted(map(permute, range(size))) == list(range(size))
+    assert all(permute.inverse(permute(x)) == x for x in range(size))
+
+
+@pytest.mark.parametrize("kind", VALUES)
+def test_same_format_and_valid_again(kind):
+    value = VALUES[kind]
+    new, listed = p.Pseudonymizer("k")(f"x {value} y")
+    assert [x["kind"] for x in listed] == [kind]
+    assert value not in new
+    shape = lambda s: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", s)))
+    if kind not in ("ip", "secret"):
+        assert shape(new) == shape(f"x {value} y")
+    again, found = p.Pseudonymizer("k")(new)
+    assert [x["kind"] for x in found] == [kind], "a pseudonym is valid like the value"
+
+
+def test_month_first_dates_stay_month_first():
+    for day in range(13, 29):
+        new, _ = p.Pseudonymizer("k")(f"02/{day}/2021")
+        month, day_of, year = map(int, new.split("/"))
+        assert day_of > 12 and dt.date(year, month, day_of)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["4041894974608796", "999.1.1.1", "000-12-3456", "2021-02-30", "123456", "v1.2.3.4.5",
+     "GB83 WEST 1234 5698 7654 32", "", "no numbers", "+1 (123) 555-2485"],
+)
+def test_what_is_not_valid_stays(text):
+    assert p.Pseudonymizer("k")(text) == (text, [])
+
+
+def test_linked_across_documents_and_edge_rows(spark, docs):
+    rows = [(1, f"a {VALUES['card']}"), (2, f"b {VALUES['card']} c"), (3, None), (4, ""),
+            (1, f"a {VALUES['card']}"), (5, "w " * 50_000 + VALUES["ip"]), (None, "z")]
+    found = p.pseudonymized(docs(rows), key="one").collect()
+    by_id = {r.doc_id: r for r in found}
+    assert len(found) == len(rows)
+    assert by_id[1].pseudonyms == by_id[2].pseudonyms
+    assert (by_id[3].text, by_id[4].text, by_id[None].text) == (None, "", "z")
+    assert by_id[5].text.startswith("w w") and VALUES["ip"] not in by_id[5].text
+    other = p.pseudonymized(docs(rows), key="two").filter("doc_id = 2").first()
+    assert other.pseudonyms != by_id[2].pseudonyms
+    clash = docs([(1, VALUES["ssn"], "en", "s", 1, "x")], ", pseudonyms string")
+    assert p.pseudonymized(clash).first().pseudonyms[0].kind == "ssn"
+    assert p.pseudonymized(docs([])).collect() == []
