@@ -43,13 +43,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item. Rows without a doc_id are searched too."""
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(-1).cast("long")))
-    found = decontamination.contaminated(
-        keyed.select(F.col("_key").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark")
-    )
-    dirty = written(found.select(F.col("doc_id").alias("_key")).distinct(), "dirty")
-    return keyed.join(dirty, "_key", "left_anti").drop("_key").select(*docs.columns)
+    """Documents that hold no benchmark item; every row is judged by its own text."""
+    return decontamination.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -312,6 +312,40 @@ def contaminated(
     return out
 
 
+def clean(
+    docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, repeats: int = REPETITIONS
+) -> DataFrame:
+    """The rows of ``docs`` that hold no item, in the sense of ``contaminated``.
+
+    Each row is judged by its own text, so rows without a doc_id, or that share one,
+    are kept or dropped one by one, and no text is shuffled.
+    """
+    walks = Walks(repeats)
+    for block in blocks(benchmark):
+        items = Items.of(block["item_id"].tolist(), block["text"].tolist(), walks, edits)
+        if items is None:
+            continue
+
+        docs = docs.filter(~holding(items)(F.col("text")))
+    return docs
+
+
+def holding(items: Items):
+    """Column function: whether a text holds one of the items."""
+
+    @F.pandas_udf("boolean")
+    def leaks(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            held, base = np.zeros(len(batch), bool), 0
+            for group in rounds(list(batch)):
+                for text, *_ in items.leaks(group):
+                    held[base + text] = True
+                base += len(group)
+            yield pd.Series(held)
+
+    return leaks
+
+
 def blocks(benchmark: DataFrame) -> Iterator[pd.DataFrame]:
     """The items in runs of at most about ``BLOCK_WORDS`` words, in order of their id."""
     items = benchmark.filter("text is not null").select(
