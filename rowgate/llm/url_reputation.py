@@ -30,6 +30,9 @@ LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br")
 BOUND = 1.645
 # A host is blocked when its bad rate is at least this with that confidence.
 WORST_RATE = 0.5
+# Range of the correlation among a parent's children; the upper end is a prior worth two
+# pages, as weak as a prior gets here however different the labelled hosts are.
+LEAST_RATIO, MOST_RATIO = 0.001, 1 / 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -85,7 +88,7 @@ def strength(level: DataFrame) -> float:
     off = n * F.pow(F.col("bad") / n - F.col("prior"), F.lit(2))
     sums = level.filter("pages > 0").agg(F.sum(off - v), F.sum((n - 1) * v)).first()
     ratio = sums[0] / sums[1] if sums[1] else 0.0
-    return 1.0 / min(max(ratio, 0.001), 0.999) - 1.0
+    return 1.0 / min(max(ratio, LEAST_RATIO), MOST_RATIO) - 1.0
 
 
 def shrunk(level: DataFrame) -> DataFrame:
@@ -182,7 +185,7 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _strength_sql(level: str) -> str:
     return f"""(SELECT 1.0 / least(greatest(coalesce(
       sum(pages * pow(bad / pages - prior, 2) - prior * (1 - prior))
-      / nullif(sum((pages - 1) * prior * (1 - prior)), 0), 0), 0.001), 0.999) - 1.0
+      / nullif(sum((pages - 1) * prior * (1 - prior)), 0), 0), {LEAST_RATIO}), {MOST_RATIO!r}) - 1.0
       FROM {level} WHERE pages > 0)"""
 
 
