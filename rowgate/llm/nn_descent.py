@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowgate.llm.frames import read, written
+from rowgate.llm.frames import joined, read, written
 
 NEIGHBOURS = 30
 # Neighbours of each kind (new or old, forward or backward) that a round compares.
@@ -34,7 +34,7 @@ SAMPLE = 8
 ROUNDS = 3
 # Vectors around which the starting blocks are drawn, one for so many vectors and at
 # most MOST_PIVOTS: a bounded sample of the table. So many times blocks are drawn.
-PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 1024, 8, 4096
+PER_PIVOT, MOST_PIVOTS = 1024, 4096
 STARTS = 6
 # Vectors of a starting block that are compared with each other.
 BLOCK = 2048
@@ -72,8 +72,8 @@ def slices(frame: pd.DataFrame, key: str) -> Iterator[pd.DataFrame]:
 
 def matrix(column: pd.Series) -> np.ndarray:
     """The vectors of a column of half-precision bytes, all of one width."""
-    joined = np.frombuffer(b"".join(column), np.float16)
-    return joined.reshape(len(column), -1).astype(np.float32)
+    numbers = np.frombuffer(b"".join(column), np.float16)
+    return numbers.reshape(len(column), -1 if len(column) else 0).astype(np.float32)
 
 
 def valid_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -135,27 +135,33 @@ def top_edges(node: np.ndarray, other: np.ndarray, near: np.ndarray, count: int)
     return pd.DataFrame({"node": node[kept], "other": other[kept], "near": near[kept].astype(np.float32)})
 
 
-def starting_edges(nodes: DataFrame, total: int, start: int) -> DataFrame:
+def starting_edges(nodes: DataFrame, total: int) -> DataFrame:
     """Nearest neighbours inside blocks of vectors that share the nearest pivot.
 
-    A pivot's vectors are dealt by hash to blocks of about ``BLOCK``.
+    A pivot's vectors are dealt by hash to blocks of about ``BLOCK``. The first time
+    all vectors share one pivot, so blocks are random and link all regions.
     """
-    order = F.xxhash64("node", F.lit(start))
-    count = min(max(total // PER_PIVOT, LEAST_PIVOTS), MOST_PIVOTS)
-    pivots = nodes.select("node", "vec").orderBy(order, "node").limit(count).toPandas()
-    centres = matrix(pivots["vec"])
+    usual = min(max(total // PER_PIVOT, 1), MOST_PIVOTS)
+    counts = [1] + [usual] * (STARTS - 1)
+    order = F.xxhash64("node", F.lit("pivot"))
+    drawn = nodes.select("node", "vec").orderBy(order, "node").limit(sum(counts)).toPandas()
+    pool = matrix(drawn["vec"])
+    ends = np.cumsum(counts)
+    centres = [
+        pool[np.arange(end - count, end) % len(pool)] for count, end in zip(counts, ends, strict=True)
+    ]
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                cell = (matrix(batch["vec"]) @ centres.T).argmax(axis=1)
+            vectors = matrix(batch["vec"])
+            for start, own in enumerate(centres):
+                cell = start * MOST_PIVOTS + (vectors @ own.T).argmax(axis=1)
                 yield batch.assign(cell=cell.astype(np.int32))
 
     cells = nodes.select("node", "vec").mapInPandas(placed, "node long, vec binary, cell int")
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("held")).collect()
-    # At most MOST_PIVOTS cells.
-    parts = F.create_map(*(F.lit(x) for r in sizes for x in (r["cell"], -(-r["held"] // BLOCK))))
-    block = F.xxhash64("cell", F.pmod(F.xxhash64("node", F.lit(start + 100)), parts[F.col("cell")]))
+    sizes = written(cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "cells")
+    part = F.pmod(F.xxhash64("node", "cell"), F.col("parts"))
+    cells = joined(cells, sizes, "cell").withColumn("block", F.xxhash64("cell", part))
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in runs(batches, "block"):
@@ -180,7 +186,7 @@ def starting_edges(nodes: DataFrame, total: int, start: int) -> DataFrame:
             if out:
                 yield pd.concat(out)
 
-    dealt = cells.withColumn("block", block).repartition("block").sortWithinPartitions("block")
+    dealt = cells.select("node", "vec", "block").repartition("block").sortWithinPartitions("block")
     return dealt.mapInPandas(compared, EDGES)
 
 
@@ -226,10 +232,7 @@ def local_join(graph: DataFrame, nodes: DataFrame, round_no: int) -> DataFrame:
 def neighbour_graph(nodes: DataFrame) -> DataFrame:
     """(node, other, near, fresh): each node's nearest others, found by NN-descent."""
     total = nodes.count()
-    edges = starting_edges(nodes, total, 0)
-    for start in range(1, STARTS):
-        edges = edges.union(starting_edges(nodes, total, start))
-    once = edges.groupBy("node", "other").agg(F.max("near").alias("near"))
+    once = starting_edges(nodes, total).groupBy("node", "other").agg(F.max("near").alias("near"))
     graph = written(best(once).withColumn("fresh", F.lit(True)), "graph")
     for round_no in range(ROUNDS):
         # Neighbours that took part in a comparison as new ones are old from now on;
