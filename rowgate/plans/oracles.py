@@ -592,8 +592,7 @@ where source_row_number % 10 < 7""",
   cast(ingested_at - source_row_number % 10 * interval 1 day as date) as ingested_date from staged
 where source_row_number % 10 >= 7""",
         "partitioned_layout": f"""{STAGED} select strftime(period_start, '%Y-%m') as period_month,
-  count(*) as record_count, count(distinct meter_id) as meter_count from staged
-where strftime(period_start, '%Y-%m') between '1996-01' and '1997-12' group by 1""",
+  count(*) as record_count, count(distinct meter_id) as meter_count from staged group by 1""",
         "stream_ingest": f"""{errors},{IMPORTS}
 select 'run/STAGED/true' as kind, import_id,
   concat(row_count, '/', valid_row_count, '/', invalid_row_count) as item from counts
@@ -606,6 +605,27 @@ select concat('error/', source_row_number), import_id, error_id from errs""",
   strftime(period_start, '%Y-%m') as period_month from staged
 qualify row_number() over (partition by record_id
   order by sha256(concat('EnergyImportStaged|', source_import_id)) desc, source_row_number desc) = 1""",
+        "stream_merge_twice": f"""{STAGED} select record_id, {_plain()}, source_import_id, source_row_number,
+  strftime(period_start, '%Y-%m') as period_month from staged
+qualify row_number() over (partition by record_id order by object_name like '%-3.csv' desc,
+  sha256(concat('EnergyImportStaged|', source_import_id)) desc, source_row_number desc) = 1""",
+        "stream_reupload": f"""{checked},{IMPORTS},
+names as (select distinct object_name, import_id from readings)
+select object_name, 'STAGED' as status, 2 as versions, 2 * row_count as row_count,
+  2 * valid_row_count as valid_row_count from counts join names using (import_id)""",
+        "csv_edge_records": f"""with {READINGS} select import_id,
+  2 * source_row_number - 1 as row_number, true as column_count_ok, trim(meter_id, ' ') as meter_id,
+  trim(period_start, ' ') as period_start from readings""",
+        "safe_counts": """with said as (select c_custkey, case c_custkey % 9
+    when 1 then concat(c_custkey, '.0') when 2 then concat(c_custkey, '.5') when 3 then concat('-', c_custkey)
+    when 4 then 'many' when 5 then '9007199254740992' when 6 then concat(' ', c_custkey, chr(9))
+    when 7 then null else concat(c_custkey) end as reported from customer)
+select c_custkey, reported, case when c_custkey % 9 in (0, 1, 6, 8) then c_custkey end as row_count from said""",
+        "optional_event_fields": """select concat('ce-', c_custkey) as cloud_event_id,
+  case when c_custkey % 97 <> 0 and c_custkey % 4 = 1 then '2026-01-01T00:00:00Z' end as publish_time,
+  case when c_custkey % 97 = 0 then 'Invalid Pub/Sub event body'
+       when c_custkey % 4 in (2, 3) then 'publishTime is required' end as reason
+from customer where c_custkey % 19 in (0, 17, 18)""",
         "stream_dedup": "select event_id, user_id, event_type, ts from events",
     }
     return sql

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from rowgate import energy
 from rowgate.functions import ids
 from rowgate.functions.text import with_normalised
+from rowgate.functions.variants import safe_count
 from rowgate.operators import csv_records as csv
 from rowgate.operators import dedup, envelopes, gate, ledger, outbox
 from rowgate.operators import quarantine, reconcile, retention, rules, staging, summary, upsert
@@ -699,7 +700,7 @@ def expired_days(spark, sf_dir):
 
 @query
 def partitioned_layout(spark, sf_dir):
-    """Rows written to the curated layout and two years read back."""
+    """Rows written to the curated layout and all of it read back."""
     layout = wh.Warehouse(scratch_path(spark, "layout")).curated
     rows = wh.with_month(
         staged(spark, sf_dir, moment(fixtures.AS_OF))
@@ -707,19 +708,18 @@ def partitioned_layout(spark, sf_dir):
         .withColumn("updated_at", F.col("created_at"))
     )
     tables.replace_load(rows, layout)
-    read = tables.read_table(spark, layout).where(
-        F.col("period_month").between("1996-01", "1997-12")
-    )
+    read = tables.read_table(spark, layout)
     return read.groupBy("period_month").agg(
         F.count("*").alias("record_count"), F.countDistinct("meter_id").alias("meter_count")
     )
 
 
-def _reading_files(spark, sf_dir) -> str:
+def _reading_files(spark, sf_dir, files: str = "true", path: str | None = None) -> str:
     """``readings`` as real CSV files, one per import, below a scratch folder."""
-    path = scratch_path(spark, "upload")
+    path = path or scratch_path(spark, "upload")
     (
         fixtures.readings(spark, sf_dir)
+        .where(files)
         .select("object_name", "source_row_number", *energy.CSV_FIELDS)
         .repartition("object_name")
         .sortWithinPartitions("object_name", "source_row_number")
@@ -731,6 +731,7 @@ def _reading_files(spark, sf_dir) -> str:
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         )
+        .mode("overwrite")
         .csv(path)
     )
     return path
@@ -813,3 +814,85 @@ def stream_dedup(spark, sf_dir):
         .awaitTermination()
     )
     return spark.read.parquet(f"{root}/out")
+
+
+@query
+def stream_merge_twice(spark, sf_dir):
+    """A second drop of files updates, inserts and keeps rows of a filled table."""
+    root = scratch_path(spark, "twice")
+    warehouse = wh.Warehouse(f"{root}/tables")
+    for drop in ("object_name not like '%-3.csv'", "object_name like '%-3.csv'"):
+        ingest.ingest_folder(
+            spark, _reading_files(spark, sf_dir, drop), warehouse, identity=_reading_identity
+        )
+        merge.start_merge(spark, warehouse, f"{root}/merge").awaitTermination()
+    return as_plain(tables.read_table(spark, warehouse.curated).drop("created_at", "updated_at"))
+
+
+def _versioned_identity(path, modified):
+    return {
+        **_reading_identity(path, modified),
+        "object_generation": F.unix_millis(modified).cast("string"),
+    }
+
+
+@query
+def stream_reupload(spark, sf_dir):
+    """Files uploaded again under their names are imports of their own."""
+    root = scratch_path(spark, "reupload")
+    warehouse = wh.Warehouse(f"{root}/tables")
+    for _ in range(2):
+        path = _reading_files(spark, sf_dir, path=f"{root}/upload")
+        ingest.ingest_folder(spark, path, warehouse, identity=_versioned_identity)
+    runs = wh.runs_of(spark, warehouse)
+    return runs.groupBy("object_name", "status").agg(
+        F.count("*").alias("versions"), F.sum("row_count").alias("row_count"),
+        F.sum("valid_row_count").alias("valid_row_count"),
+    )
+
+
+@query
+def csv_edge_records(spark, sf_dir):
+    """A byte order mark before, and empty lines between all records."""
+    files = fixtures.csv_files(spark, sf_dir, damaged=False)
+    sparse = F.concat(F.lit("\ufeff"), F.replace("text", F.lit("\n"), F.lit("\n\n")))
+    records = csv.csv_records(files.withColumn("text", sparse), energy.CSV_FIELDS)
+    named = csv.with_named_fields(records, energy.CSV_FIELDS)
+    return named.select("import_id", "row_number", "column_count_ok", "meter_id", "period_start")
+
+
+@query
+def safe_counts(spark, sf_dir):
+    """reported row counts as text, sound and not."""
+    c = F.col("c_custkey")
+    reported = (
+        F.when(c % 9 == 1, F.concat(c, F.lit(".0")))
+        .when(c % 9 == 2, F.concat(c, F.lit(".5")))
+        .when(c % 9 == 3, F.concat(F.lit("-"), c))
+        .when(c % 9 == 4, "many")
+        .when(c % 9 == 5, "9007199254740992")
+        .when(c % 9 == 6, F.concat(F.lit(" "), c, F.lit("\t")))
+        .when(c % 9 == 7, F.lit(None).cast("string"))
+        .otherwise(c.cast("string"))
+    )
+    customers = fixtures.table(spark, sf_dir, "customer").select("c_custkey", reported.alias("reported"))
+    return customers.select("c_custkey", "reported", safe_count(F.col("reported")).alias("row_count"))
+
+
+@query
+def optional_event_fields(spark, sf_dir):
+    """sound messages with and without a publish time, some over the size limit."""
+    envelopes_ = fixtures.message_envelopes(spark, sf_dir, False)
+    c = F.regexp_extract(F.try_element_at("headers", F.lit("ce-id")), r"(\d+)", 1).try_cast("bigint")
+    sound = envelopes_.withColumn("c", c).where("c % 19 in (0, 17, 18)")
+    given = (
+        F.when(F.col("c") % 4 == 1, '"publishTime":"2026-01-01T00:00:00Z",')
+        .when(F.col("c") % 4 == 2, '"publishTime":"",')
+        .when(F.col("c") % 4 == 3, '"publishTime":5,')
+        .otherwise("")
+    )
+    body = F.replace(F.col("body"), F.lit('"messageId"'), F.concat(given, F.lit('"messageId"')))
+    too_long = F.rpad(body, energy.STAGED_EVENTS.max_body_bytes + 1, " ")
+    sent = sound.select("headers", F.when(F.col("c") % 97 == 0, too_long).otherwise(body).alias("body"))
+    decoded = envelopes.decode_messages(sent, energy.STAGED_EVENTS)
+    return decoded.select("cloud_event_id", "publish_time", "reason")
