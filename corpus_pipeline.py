@@ -33,7 +33,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     classes = weighted_minhash.near_duplicates(docs)
     kept = written(classes.filter("doc_id = class_id").groupBy("doc_id").count(), "kept")
-    first = docs.join(kept, "doc_id")
+    # What is kept grows with the corpus, so it is joined by shuffle at every size.
+    first = docs.join(kept.hint("merge"), "doc_id")
     once = first.filter("count = 1").select(*docs.columns)
     # Repeated ids are rare: their rows alone are compared and thinned out.
     again = first.filter("count > 1").select(*docs.columns)
