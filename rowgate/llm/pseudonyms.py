@@ -225,7 +225,33 @@ EMAILS = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z
 SECRETS = re.compile(
     r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s*[=:]\s*[\"']?([A-Za-z0-9]{8,})"
 )
-WORTH_A_LOOK = re.compile(r"[0-9@]")
+# Every value of a fixed format has a digit, or is a key that begins so.
+NUMBERED = re.compile(r"\d|AKIA")
+# All extents a value of a kind can have from a given start, longest first: what fails
+# its validation may hold a valid value, or begin with one.
+EXTENTS = {
+    "iban": [
+        re.compile(
+            rf"\b[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "") + r"\b"
+        )
+        for n in range(7, 1, -1) for rest in range(3, -1, -1)
+    ],
+    "awskey": [re.compile(r"\bAKIA[0-9A-Z]{16}\b")],
+    "phone": [
+        re.compile(r"(?:\+1[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}\b"),
+        re.compile(r"\+1[ .-]?\d{3}[ .-]\d{3}[ .-]\d{4}\b"),
+        re.compile(r"(?<![\w.-])\d{3}([.-])\d{3}\1\d{4}(?![\w-])"),
+    ],
+    "ssn": [re.compile(r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])")],
+    "date": [
+        re.compile(r"(?<![\w.-])\d{4}([-/.])\d{2}\1\d{2}(?![\w-]|\.\d)"),
+        re.compile(r"(?<![\w.-])\d{2}([-/.])\d{2}\1\d{4}(?![\w-]|\.\d)"),
+    ],
+    "ip": [re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)")],
+    "card": [
+        re.compile(rf"(?<![\w.-])\d(?:[ -]?\d){{{n}}}(?![\w-])") for n in range(18, 11, -1)
+    ],
+}
 KINDS = {
     "iban": iban, "awskey": secret, "phone": phone, "ssn": ssn, "date": date, "ip": ip, "card": card,
 }
@@ -245,9 +271,31 @@ class Pseudonymizer:
             self.made[tweak, size] = Permutation(self.key, tweak, size)
         return self.made[tweak, size](rank)
 
+    def numbers(self, text: str) -> Iterator[tuple[int, int, str, str]]:
+        """Values of fixed formats that pass their validation, from left to right.
+
+        At each start all kinds are tried in order with all their extents; without a
+        valid one the search goes on at the next character.
+        """
+        at = 0
+        while m := NUMBERS.search(text, at):
+            at = m.start() + 1
+            for end, kind, new in self.valid_at(text, m):
+                yield m.start(), end, kind, new
+                at = end
+
+    def valid_at(self, text: str, m: re.Match) -> list[tuple[int, str, str]]:
+        """The first valid value that begins where ``m`` does, if any."""
+        if new := KINDS[m.lastgroup](m[0], self.permute):
+            return [(m.end(), m.lastgroup, new)]
+        for kind, patterns in EXTENTS.items():
+            for pattern in patterns:
+                other = pattern.match(text, m.start())
+                if other and (new := KINDS[kind](other[0], self.permute)):
+                    return [(other.end(), kind, new)]
+        return []
+
     def __call__(self, text: str) -> tuple[str, list[dict]]:
-        if not WORTH_A_LOOK.search(text):
-            return text, []
         found: list[tuple[int, int, str, str]] = []
         if "@" in text:
             for m in EMAILS.finditer(text):
@@ -256,10 +304,8 @@ class Pseudonymizer:
         if "=" in text or ":" in text:
             for m in SECRETS.finditer(text):
                 found.append((m.start(1), m.end(1), "secret", secret(m[1], self.permute)))
-        for m in NUMBERS.finditer(text):
-            kind = m.lastgroup
-            if new := KINDS[kind](m[0], self.permute):
-                found.append((m.start(), m.end(), kind, new))
+        if NUMBERED.search(text):
+            found += self.numbers(text)
         out, at, listed = [], 0, []
         for start, end, kind, new in sorted(found):
             if start < at:  # inside a value that is replaced already
