@@ -4,20 +4,11 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+for folder in Path(__file__).resolve().parents[:2]:
+    sys.path.insert(0, str(folder))
 
 from rowgate.session import build_session  # noqa: E402
-
-HEADER = (
-    "meter_id,period_start,period_end,reading_start_kwh,reading_end_kwh,consumption_kwh,"
-    "estimated_annual_kwh,subscription_cost_sek,transmission_cost_sek,energy_tax_sek,"
-    "grid_vat_sek,grid_total_sek,electricity_cost_sek,electricity_annual_fee_sek,"
-    "electricity_vat_sek,electricity_total_sek,total_cost_sek"
-)
-LINE = (
-    "home-01,2026-06-01,2026-06-30,3575,3649,74,943,161.10,26.34,26.64,53.52,267.60,"
-    "61.35,31.56,23.23,116.14,383.74"
-)
+from samples import HEADER, LINE  # noqa: E402
 
 
 @pytest.fixture(scope="session")
