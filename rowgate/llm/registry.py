@@ -7,6 +7,7 @@ from rowgate.llm import (
     language,
     mixing,
     nn_descent,
+    pieces,
     pseudonyms,
     repeats,
     sharding,
@@ -18,6 +19,7 @@ from rowgate.llm.frames import shipped
 
 _MODULES = (
     repeats, pseudonyms, warc, language, mixing, decontamination, sharding, nn_descent, url_reputation, weighted_minhash,
+    pieces,
 )
 
 QUERIES = {name: shipped(run) for module in _MODULES for name, run in module.QUERIES.items()}
