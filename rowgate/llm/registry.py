@@ -11,6 +11,7 @@ from rowgate.llm import (
     pseudonyms,
     repeats,
     sharding,
+    spelling,
     url_reputation,
     warc,
     weighted_minhash,
@@ -19,7 +20,7 @@ from rowgate.llm.frames import shipped
 
 _MODULES = (
     repeats, pseudonyms, warc, language, mixing, decontamination, sharding, nn_descent, url_reputation, weighted_minhash,
-    pieces,
+    pieces, spelling,
 )
 
 QUERIES = {name: shipped(run) for module in _MODULES for name, run in module.QUERIES.items()}
