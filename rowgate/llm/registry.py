@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rowgate.llm import (
+    collocations,
     decontamination,
     language,
     mixing,
@@ -20,7 +21,7 @@ from rowgate.llm.frames import shipped
 
 _MODULES = (
     repeats, pseudonyms, warc, language, mixing, decontamination, sharding, nn_descent, url_reputation, weighted_minhash,
-    pieces, spelling,
+    collocations, pieces, spelling,
 )
 
 QUERIES = {name: shipped(run) for module in _MODULES for name, run in module.QUERIES.items()}
