@@ -26,21 +26,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: that with the smallest doc_id.
+    """One row of each class of near-duplicates, the first of the table.
 
-    Rows that share the kept doc_id are one document, of which one row stays. Rows
-    without a doc_id belong to no class and stay.
+    Rows are numbered and judged by their own text, whatever their doc_id: rows that
+    share one stay if their texts differ. Texts without words stay once each.
     """
-    classes = weighted_minhash.near_duplicates(docs)
-    kept = written(classes.filter("doc_id = class_id").groupBy("doc_id").count(), "kept")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    numbered = docs.select(F.monotonically_increasing_id().alias("doc_id"), row.alias("row"))
+    # Written, so that every row keeps its number when a task is run again.
+    numbered = written(numbered, "numbered")
+    classes = weighted_minhash.near_duplicates(numbered.select("doc_id", F.col("row.text").alias("text")))
+    kept = classes.filter("doc_id = class_id").select("doc_id")
     # What is kept grows with the corpus, so it is joined by shuffle at every size.
-    first = docs.join(kept.hint("merge"), "doc_id")
-    once = first.filter("count = 1").select(*docs.columns)
-    # Repeated ids are rare: their rows alone are compared and thinned out.
-    again = first.filter("count > 1").select(*docs.columns)
-    packed = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    again = again.groupBy("doc_id").agg(F.min(packed).alias("_row")).select("_row.*")
-    return once.unionByName(again).unionByName(docs.filter("doc_id is null"))
+    return numbered.join(kept.hint("merge"), "doc_id", "left_semi").select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
