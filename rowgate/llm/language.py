@@ -3,11 +3,13 @@
 A text is a TF-IDF vector of byte n-grams (two and three bytes of the lower-cased
 text, hashed to a fixed number of features), normalised to length 1. Every language
 has several centroids, found by spherical k-means on a bounded sample of labelled
-documents. A text gets the language of the centroid with the largest cosine; it is
-rejected when it lies farther from that centroid than any text of its length should.
+documents. A text gets the language of the centroid with the largest cosine. It is
+rejected when it lies farther from that centroid than all but ``REJECTED`` of the
+sampled texts of its language and length.
 
-Fitting sees at most about ``SAMPLE`` documents a language. Predicting is narrow: only
-the text goes to Python, as Arrow batches, and nothing is shuffled.
+Fitting sees at most ``SAMPLE`` documents a language, and every language is fitted in a
+task of its own; the driver gets centroids only. Predicting is narrow: only the text
+goes to Python, as Arrow batches, and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -19,18 +21,21 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowgate.llm.frames import read, with_columns
+from rowgate.llm.frames import read, with_columns, written
 
 FEATURES = 4096
 SAMPLE = 600
-MAX_LANGUAGES = 256
 CENTROIDS = 3
 ROUNDS = 12
-# A text is rejected below this part of the cosine that the least typical sampled
-# text of its length class reaches.
-REJECT_BELOW = 0.3
+# Part of a language's own texts that may lie beyond the distance of rejection.
+REJECTED = 0.005
+# Quantiles of few texts are unsure: from MANY on a centroid has its own, from SOME on
+# its language has, each with some slack; with fewer, half the least cosine holds.
+MANY, SOME, SLACK = 100, 20, 0.8
+CLASSES = 7
 UNKNOWN = "und"
 
 RESULT = "lang_pred string, score double, rejected boolean"
@@ -63,12 +68,17 @@ def features(text: str) -> np.ndarray | None:
 
 def length_class(counts: np.ndarray) -> int:
     """0 for up to 15 n-grams, then one class per factor 4."""
-    return min(int(max(np.log2(counts.sum() + 1) - 4, 0) // 2) + (counts.sum() > 15), 6)
+    return min(int(max(np.log2(counts.sum() + 1) - 4, 0) // 2) + (counts.sum() > 15), CLASSES - 1)
+
+
+def vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    weights = np.log1p(counts).astype(np.float32) * idf
+    return weights / max(float(np.linalg.norm(weights)), 1e-12)
 
 
 @dataclass(frozen=True)
 class Model:
-    """``centroids`` are unit rows; ``floors`` has a least cosine per length class."""
+    """``centroids`` are unit rows; ``floors`` has their least cosines per length class."""
 
     languages: tuple[str, ...]
     owners: np.ndarray
@@ -77,8 +87,7 @@ class Model:
     floors: np.ndarray
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
-        weights = np.log1p(counts).astype(np.float32) * self.idf
-        return weights / max(float(np.linalg.norm(weights)), 1e-12)
+        return vector(counts, self.idf)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         counts = None if text is None else features(text)
@@ -87,54 +96,61 @@ class Model:
         cosines = self.centroids @ self.vector(counts)
         best = int(np.argmax(cosines))
         score = float(min(max(cosines[best], 0.0), 1.0))
-        floor = self.floors[length_class(counts)]
+        floor = self.floors[best, length_class(counts)]
         return self.languages[self.owners[best]], score, bool(score < floor)
 
 
 def k_means(vectors: np.ndarray, k: int) -> np.ndarray:
-    """Unit centroids; starts are chosen farthest first, so a rerun gives the same."""
-    centre = vectors.mean(axis=0)
-    starts = [int(np.argmax(vectors @ centre))]
-    while len(starts) < min(k, len(vectors)):
-        starts.append(int(np.argmin((vectors @ vectors[starts].T).max(axis=1))))
-    centroids = vectors[starts]
+    """Unit centroids. Starts are the means of equal parts along the direction of largest
+    variance, so outliers do not become centroids and a rerun gives the same."""
+    middle = vectors - vectors.mean(axis=0)
+    direction = middle[int(np.argmax((middle**2).sum(axis=1)))]
+    for _ in range(ROUNDS):
+        direction = middle.T @ (middle @ direction)
+        direction /= max(float(np.linalg.norm(direction)), 1e-12)
+    parts = np.array_split(np.argsort(middle @ direction, kind="stable"), min(k, len(vectors)))
+    centroids = np.stack([vectors[p].mean(axis=0) for p in parts])
     for _ in range(ROUNDS):
+        centroids /= np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
         near = np.argmax(vectors @ centroids.T, axis=1)
-        sums = np.stack(
+        centroids = np.stack(
             [vectors[near == j].sum(axis=0) if (near == j).any() else centroids[j] for j in range(len(centroids))]
         )
-        centroids = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return centroids
-
-
-def fitted(sample: pd.DataFrame) -> Model:
-    """A model from (lang, feature, count): the sampled texts' non-zero features."""
-    sample = sample.sort_values(["lang", "order"], kind="stable")
-    counts = np.zeros((len(sample), FEATURES), np.int32)
-    for i, (ids, numbers) in enumerate(zip(sample["features"], sample["counts"], strict=True)):
-        counts[i, np.asarray(ids, np.int64)] = numbers
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
-    blank = Model((), np.zeros(0, int), np.zeros((0, FEATURES)), idf.astype(np.float32), np.zeros(7))
-    vectors = np.stack([blank.vector(c) for c in counts]) if len(counts) else np.zeros((0, FEATURES))
-    languages = tuple(sorted(sample["lang"].unique()))
-    owners, centroids = [], []
-    for i, lang in enumerate(languages):
-        own = k_means(vectors[(sample["lang"] == lang).to_numpy()], CENTROIDS)
-        owners += [i] * len(own)
-        centroids.append(own)
-    if not languages:
-        return blank
-    centroids = np.concatenate(centroids).astype(np.float32)
-    best = (vectors @ centroids.T).max(axis=1)
-    classes = np.array([length_class(c) for c in counts])
-    # Short texts are less like any centroid: a class without samples of its own
-    # takes the floor of the next shorter one, the first one has none.
-    floors, floor = np.zeros(7), 0.0
-    for j in range(7):
-        if (classes == j).sum() >= 5:
-            floor = REJECT_BELOW * float(best[classes == j].min())
-        floors[j] = floor
-    return Model(languages, np.array(owners), centroids, idf.astype(np.float32), floors)
+    return centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
+
+
+def floors_of(cosines: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The least accepted cosine of every centroid and length class, from the cosines of a
+    language's texts to its centroids. A class without texts takes the next shorter one's."""
+    near, best = np.argmax(cosines, axis=1), cosines.max(axis=1)
+    floors = np.zeros((cosines.shape[1], CLASSES))
+    before = 0.0
+    for c in range(CLASSES):
+        own = best[classes == c]
+        if len(own) >= SOME:
+            before = SLACK * float(np.quantile(own, REJECTED))
+        elif len(own):
+            before = 0.5 * float(own.min())
+        floors[:, c] = before
+        for j in range(cosines.shape[1]):
+            cell = best[(classes == c) & (near == j)]
+            if len(cell) >= MANY:
+                floors[j, c] = SLACK * float(np.quantile(cell, REJECTED))
+    return floors
+
+
+def fitted_language(sample: pd.DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids and their floors from one language's (order, features, counts)."""
+    sample = sample.sort_values("order", kind="stable")
+    vectors, classes = [], []
+    for ids, numbers in zip(sample["features"], sample["counts"], strict=True):
+        counts = np.zeros(FEATURES, np.int32)
+        counts[np.asarray(ids, np.int64)] = numbers
+        vectors.append(vector(counts, idf))
+        classes.append(length_class(counts))
+    vectors = np.stack(vectors)
+    centroids = k_means(vectors, CENTROIDS).astype(np.float32)
+    return centroids, floors_of(vectors @ centroids.T, np.array(classes))
 
 
 def bucket_of(key: Column) -> Column:
@@ -142,34 +158,42 @@ def bucket_of(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
-def sampled(labelled: DataFrame, size: int = SAMPLE) -> pd.DataFrame:
-    """Features of about ``size`` documents per language, drawn by hash, to the driver.
+def sampled(labelled: DataFrame, size: int = SAMPLE) -> DataFrame:
+    """(lang, order, features, counts) of at most ``size`` documents a language; written.
 
-    At most ``MAX_LANGUAGES`` labels, the most frequent ones, are learned; a document
-    sends at most ``FEATURES`` numbers, however long it is.
+    Documents are drawn by a hash of id and text. Where that draws none of a language,
+    because its rows are all alike, the first ones in the order of the hash are taken. A
+    document has at most ``FEATURES`` numbers, however long it is.
     """
-    labels = labelled.filter("lang is not null").groupBy("lang").count()
-    rates = labels.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not rates:
-        return pd.DataFrame({"lang": [], "order": [], "features": [], "counts": []})
-    share = F.create_map(*(F.lit(x) for r in rates for x in (r["lang"], size / r["count"])))
-    order = F.xxhash64(F.lit("language"), "doc_id")
-    drawn = labelled.filter(
-        (F.pmod(order, F.lit(1_000_003)) / 1_000_003.0) < share[F.col("lang")]
-    ).select("lang", order.alias("order"), "text")
+    labelled = labelled.filter("lang is not null and text is not null")
+    rates = labelled.groupBy("lang").count().collect()
+    order = F.xxhash64(F.lit("language"), "doc_id", "text")
+    rows = labelled.select("lang", order.alias("order"), "text")
+    part = F.pmod(F.col("order"), F.lit(1_000_003)) / 1_000_003.0
+
+    def first(rows: DataFrame) -> DataFrame:
+        place = F.row_number().over(W.partitionBy("lang").orderBy("order"))
+        return rows.withColumn("place", place).filter(F.col("place") <= size).drop("place")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for lang, place, text in batch.itertuples(index=False):
-                counts = features(text or "")
+            found = []
+            for lang, place, text in batch[["lang", "order", "text"]].itertuples(index=False):
+                counts = features(text)
                 if counts is not None:
                     ids = np.flatnonzero(counts)
-                    rows.append((lang, place, ids.astype(np.int32), counts[ids].astype(np.int32)))
-            yield pd.DataFrame(rows, columns=["lang", "order", "features", "counts"])
+                    found.append((lang, place, ids.astype(np.int32), counts[ids].astype(np.int32)))
+            yield pd.DataFrame(found, columns=["lang", "order", "features", "counts"])
 
     kind = "lang string, order long, features array<int>, counts array<int>"
-    return drawn.mapInPandas(counted, kind).toPandas()
+    if not rates:
+        return written(rows.mapInPandas(counted, kind), "sample")
+    share = F.create_map(*(F.lit(x) for r in rates for x in (r["lang"], 2 * size / r["count"])))
+    drawn = written(first(rows.filter(part < share[F.col("lang")])), "drawn")
+    missing = {r["lang"] for r in rates} - {r["lang"] for r in drawn.select("lang").distinct().collect()}
+    if missing:
+        drawn = drawn.unionByName(first(rows.filter(F.col("lang").isin(sorted(missing)))))
+    return written(drawn.mapInPandas(counted, kind), "sample")
 
 
 def fit(docs: DataFrame) -> Model:
@@ -177,6 +201,32 @@ def fit(docs: DataFrame) -> Model:
     return fitted(sampled(docs.select("doc_id", "text", "lang").filter(bucket_of(F.col("doc_id")) != 2)))
 
 
+def fitted(sample: DataFrame) -> Model:
+    """A model from (lang, order, features, counts); its size is that of the centroids."""
+    total = sample.count()
+    held = sample.select(F.explode("features").alias("feature")).groupBy("feature").count().toPandas()
+    counts = np.zeros(FEATURES)
+    counts[held["feature"].to_numpy(np.int64)] = held["count"].to_numpy(np.float64)
+    idf = (np.log((1 + total) / (1 + counts)) + 1).astype(np.float32)
+
+    def learn(own: pd.DataFrame) -> pd.DataFrame:
+        centroids, floors = fitted_language(own, idf)
+        return pd.DataFrame({"lang": own["lang"].iloc[0], "centroid": list(centroids), "floors": list(floors)})
+
+    kind = "lang string, centroid array<float>, floors array<double>"
+    found = sample.groupBy("lang").applyInPandas(learn, kind).toPandas().sort_values("lang", kind="stable")
+    languages = tuple(sorted(found["lang"].unique()))
+    if not languages:
+        return Model((), np.zeros(0, int), np.zeros((0, FEATURES)), idf, np.zeros((0, CLASSES)))
+    return Model(
+        languages,
+        np.array([languages.index(x) for x in found["lang"]]),
+        np.stack(found["centroid"].to_list()).astype(np.float32),
+        idf,
+        np.stack(found["floors"].to_list()),
+    )
+
+
 def predicted(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
     """``docs`` plus ``lang_pred``, ``score`` (the cosine) and ``rejected``.
 
