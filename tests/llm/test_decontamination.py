@@ -97,11 +97,49 @@ def test_the_filter_loses_no_window(case):
         break
 
 
+def kinds_of(kind, words, count, rng):
+    words = list(words)
+    for i in range(count):
+        at = rng.randrange(len(words))
+        if kind == "replaced":
+            words[at] = f"new{i}"
+        elif kind == "deleted":
+            del words[at]
+        else:
+            words.insert(at, f"new{i}")
+    return words
+
+
+@pytest.mark.parametrize("kind", ["replaced", "deleted", "inserted"])
+@pytest.mark.parametrize("size", [3, 6, 20, 40, 80, 160, 320, 3000])
+def test_recall_at_the_largest_distance(kind, size):
+    rng = random.Random(size)
+    trials, held = (40 if size < 3000 else 4), 0
+    for trial in range(trials):
+        item = [f"w{rng.randrange(5000)}" for _ in range(size)]
+        words = [f"v{rng.randrange(5000)}" for _ in range(200)]
+        words[100:100] = kinds_of(kind, item, d.allowed(size), rng)
+        items = d.Items.of([trial], [" ".join(item)], d.Walks(d.REPETITIONS), d.EDITS)
+        found = list(items.leaks([" ".join(words)]))
+        held += len(found)
+        assert all(edits <= d.allowed(size) for _, _, edits, *_ in found)
+    assert held >= 0.95 * trials
+
+
+def test_short_items_are_found_but_drop_only_what_is_little_else(spark, docs):
+    benchmark = spark.createDataFrame([(1, "Yes it is"), (2, "a b c d e f g"), (3, "...")], "item_id long, text string")
+    rows = [(1, "yes, it is!"), (2, "well yes it is " + "and so on " * 9), (3, "a b c x e f g"), (4, "a b x d e y g"),
+            (5, "yes it"), (6, "yes it is no")]
+    found = {(r.doc_id, r.item_id, r.edits, r.short) for r in d.contaminated(docs(rows), benchmark).collect()}
+    assert found == {(1, 1, 0, True), (2, 1, 0, True), (3, 2, 1, True), (6, 1, 0, True)}
+    assert sorted(r.doc_id for r in d.clean(docs(rows), benchmark).collect()) == [2, 4, 5]
+
+
 def test_edge_rows(spark, docs, monkeypatch):
     item = " ".join(WORDS[:20])
     rows = [(1, None), (2, ""), (3, item.upper()), (3, item.upper()), (None, item), (4, "x " * 100_000 + item), (5, "w1 w2")]
     benchmark = spark.createDataFrame(
-        [(7, item), (8, item), (9, None), (10, "too short"), (None, item)], "item_id long, text string"
+        [(7, item), (8, item), (9, None), (10, "is not there"), (None, item)], "item_id long, text string"
     )
     monkeypatch.setattr(d, "BLOCK_WORDS", 20)
     found = d.contaminated(docs(rows), benchmark).collect()
