@@ -9,6 +9,7 @@ from pyspark.storagelevel import StorageLevel
 from rowgate import energy
 from rowgate.functions import ids
 from rowgate.operators import dedup, envelopes, ledger, outbox, reconcile, upsert
+from rowgate.sources.run_log import compact_when_due
 from rowgate.sources.tables import (
     append_log,
     read_table,
@@ -179,6 +180,7 @@ def merge_batch(
         late = hold(unfit.unionByName(short).dropDuplicates(["import_id"]))
         kept = decoded.where("reason is null").drop("reason").join(bounded(late), "import_id")
         defer(spark, warehouse, STAGED_TOPIC, kept, batch)
+        compact_when_due(spark, warehouse.runs)
     finally:
         for df in reversed(held):
             df.unpersist()
