@@ -41,7 +41,8 @@ RECEIVED = "energy_import_staged_received"
 def stream_messages(spark: SparkSession, warehouse: Warehouse, topic: str) -> DataFrame:
     """Published messages as delivered envelopes."""
     layout = warehouse.messages(topic)
-    found = spark.readStream.schema(layout.full_ddl()).parquet(layout.path)
+    reader = spark.readStream.schema(layout.full_ddl()).option("recursiveFileLookup", "true")
+    found = reader.parquet(layout.path)
     return outbox.push_envelopes(found, energy.MESSAGE_TRANSPORT)
 
 
