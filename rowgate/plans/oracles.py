@@ -460,6 +460,14 @@ from staged where object_name like '%-3.csv'""",
   case when object_name like '%-2.csv' then 'INVALID_CSV' else '' end as reason,
   case when object_name like '%-2.csv' then 0 else count(*) end as record_count
 from readings group by import_id, object_name""",
+        "rejection_details": f"""with {READINGS}, files as (select import_id, object_name, count(*) + 2 as last_line
+  from readings group by import_id, object_name), wrong as (select *, case
+  when object_name like '%-0.csv' then 'a quote is never closed'
+  when object_name like '%-1.csv' then 'a quote inside an unquoted field'
+  when object_name like '%-2.csv' then 'text behind a closing quote' end as error from files)
+select import_id, object_name, error is null as well_formed, error,
+  case when error is not null then last_line end as line,
+  error || ', line ' || last_line as rejection_details from wrong""",
         "file_gate": """with files as (select doc_id, concat('doc-', doc_id, case doc_id % 4 when 0 then '.csv'
   when 1 then '.CSV' when 2 then '.csv.txt' else '.Csv' end) as object_name, cast(strlen(text) as bigint) as size_bytes
   from documents)

@@ -370,6 +370,28 @@ def csv_reject_file(spark, sf_dir):
     return refused.unionByName(kept)
 
 
+@query
+def rejection_details(spark, sf_dir):
+    """What is wrong with every rejected file, and on which line."""
+    files = fixtures.csv_files(spark, sf_dir, damaged=False)
+    name = F.col("object_name")
+    damage = (
+        F.when(name.endswith("-0.csv"), F.lit('\n"never closed'))
+        .when(name.endswith("-1.csv"), F.lit('\nan "inner" quote'))
+        .when(name.endswith("-2.csv"), F.lit('\n"closed" early,1'))
+        .otherwise("")
+    )
+    broken = csv.with_syntax_check(files.withColumn("text", F.concat("text", damage)))
+    kind, line = csv.error_position(F.col("text"))
+    details = F.when(~F.col("well_formed"), csv.rejection_details(F.col("text")))
+    return broken.select(
+        "import_id", "object_name", "well_formed",
+        F.when(~F.col("well_formed"), kind).alias("error"),
+        F.when(~F.col("well_formed"), line).alias("line"),
+        details.alias("rejection_details"),
+    )
+
+
 @query
 def file_gate(spark, sf_dir):
     """Suffix before size, on one pretended upload per document."""
