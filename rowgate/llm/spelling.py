@@ -9,13 +9,12 @@
 3. *Decomposition.* At every place of a word the gram grows from ``SHORTEST`` until it is
    rare; a gram that lies inside an earlier one is left out.
 4. *Affected grams.* One edit changes only grams near it. Where a gram ends, and which
-   earlier gram could come to cover it, tells exactly at which edits it may change; the
-   most grams that any one edit can change bound, per word and kind of edit, what two
-   near words may lose.
-5. *List merging.* All others are shared, so of each word's grams, in one global order,
-   rarest first, as many as that bound and one more must hold a shared one. Only the
-   lists of these are merged. A list holds the words with a gram at the same place:
-   counted from the left or, behind an insertion, from the right.
+   earlier gram could come to cover it, tells at which edits it may change.
+5. *List merging.* All others are shared. So for each edit of a word, the first gram, in
+   one global order, rarest first, that the edit leaves alone bounds how far the first
+   shared gram can be; only the lists up to these bounds are merged. A list holds the
+   words with a gram at the same place: counted from the left or, behind an insertion or
+   a deletion, from the right.
 6. *Verification* compares the words of a list in their task and puts out only words
    that are near; long lists are dealt out as pairs of parts.
 
@@ -153,46 +152,50 @@ def decomposed(word: str, longest: int, frequent: dict[str, int]) -> list[tuple[
     return grams
 
 
-def affected(grams: list[tuple[int, int, bool]], size: int, longest: int, inserted: bool) -> int:
-    """The most grams that one edit of the word can change, break or cover.
+def merged_lists(word: str, least_length: int, frequent: dict[str, int]) -> list[tuple[int, int, str]]:
+    """(kind, length of the shorter word, list) of the lists that a word is merged in.
 
-    Replacing or deleting a character at i: a gram that ends before it stays; an earlier
-    gram that comes to cover one begins at most ``longest`` before its end. Inserting
-    before place i is the same but one place further, and an open gram grows at the end.
+    Replacing or deleting the character at i, a gram that ends before it stays, as does
+    one that begins behind it and ends at least ``longest`` behind it: an earlier gram
+    cannot come to cover that. Inserting before place i is the same but one place
+    further, and an open gram grows at the end. The first gram that two near words share
+    is in a list of both: neither word's bound for their edit can be before it.
     """
-    steps = [0] * (size + 2)
-    for _, end, grows in grams:
-        first, last = max(0, end - longest), end - 1
-        if inserted:
-            first, last = max(0, end - longest + 1), end if grows else end - 1
-        steps[first] += 1
-        steps[last + 1] -= 1
-    most = now = 0
-    for step in steps:
-        now += step
-        most = max(most, now)
-    return most
-
-
-def merged_lists(word: str, least_length: int, frequent: dict[str, int]) -> list[tuple[int, int, str]]:
-    """(kind, length of the shorter word, list) of the lists that a word is merged in."""
     size, lists = len(word), []
     for shorter in (size - 1, size):
         if shorter < least_length:
             continue
         longest = longest_gram(shorter)
-        grams = decomposed(word, longest, frequent)
-        ranked = sorted(grams, key=lambda g: (frequent.get(word[g[0] : g[1]], 0), g[0] - g[1], word[g[0] : g[1]], g[0]))
-        replaced = affected(grams, size, longest, False)
+        grams = [
+            (frequent.get(word[begin:end], 0), begin - end, word[begin:end], begin, end, grows)
+            for begin, end, grows in decomposed(word, longest, frequent)
+        ]
+        grams.sort()
+        same: set[int] = set()
+        left: set[int] = set()
+        right: set[int] = set()
+        for i in range(size):
+            for k, (_, _, _, begin, end, _) in enumerate(grams):
+                if begin <= i < end:
+                    continue
+                if shorter == size:
+                    same.add(k)
+                else:
+                    (left if end <= i else right).add(k)
+                if end <= i or end > i + longest:
+                    break
         if shorter == size:
-            for begin, end, _ in ranked[: replaced + 1]:
-                lists.append((SAME, shorter, f"{begin}={word[begin:end]}"))
-            bound = affected(grams, size, longest, True)
-        else:
-            bound = replaced
-        for begin, end, _ in ranked[: bound + 1]:
-            lists.append((LEFT, shorter, f"{begin}<{word[begin:end]}"))
-            lists.append((RIGHT, shorter, f"{size - end}>{word[begin:end]}"))
+            for i in range(size + 1):
+                for k, (_, _, _, begin, end, grows) in enumerate(grams):
+                    if begin < i < end:
+                        continue
+                    (left if end <= i else right).add(k)
+                    if end < i or end == i and not grows or end > i + longest - 1:
+                        break
+        for kind, chosen in ((SAME, same), (LEFT, left), (RIGHT, right)):
+            for k in chosen:
+                _, _, gram, begin, end, _ = grams[k]
+                lists.append((kind, shorter, f"{size - end if kind == RIGHT else begin} {gram}"))
     return lists
 
 
@@ -219,18 +222,20 @@ def near_longer(letters: np.ndarray, i: np.ndarray, j: np.ndarray, size: int) ->
 
 
 def near_of_lists(rows: pd.DataFrame) -> pd.DataFrame:
-    """The near pairs inside the lists of rows that are sorted by list."""
-    found = []
-    for (kind, size), part in rows.groupby(["kind", "size"], sort=False):
-        words, n = part["word"].to_numpy(object), part["n"].to_numpy(np.int64)
-        block = pd.factorize(part["block"])[0]
-        side = part["side"].to_numpy()
-        wide = size if kind == SAME else size + 1
+    """The near pairs inside the lists of rows that are sorted by kind, size and block."""
+    found = [np.zeros((2, 0), np.int64)]
+    kinds, sizes = rows["kind"].to_numpy(), rows["size"].to_numpy()
+    bounds = np.flatnonzero((kinds[1:] != kinds[:-1]) | (sizes[1:] != sizes[:-1])) + 1
+    for begin, end in zip([0, *bounds], [*bounds, len(rows)], strict=True):
+        kind, size = int(kinds[begin]), int(sizes[begin])
+        words = rows["word"].iloc[begin:end].to_numpy(object)
+        block, side = rows["block"].iloc[begin:end].to_numpy(), rows["side"].iloc[begin:end].to_numpy()
+        wide = -(-(size if kind == SAME else size + 1) // 8) * 8
         # Every letter is below U+0100, so a word is a row of bytes.
-        raw = b"".join(w.encode("latin-1").ljust(-(-wide // 8) * 8, b"\0") for w in words)
-        letters = np.frombuffer(raw, np.uint8).reshape(len(words), -1)
+        raw = b"".join([w.ljust(wide, b"\0") for w in words])
+        letters = np.frombuffer(raw, np.uint8).reshape(len(words), wide)
         packed = np.ascontiguousarray(letters).view(np.uint64)
-        lengths = np.array([len(w) for w in words])
+        longer = letters[:, size] > 0 if kind != SAME else None
         at, step = np.arange(len(words) - 1), 1
         while len(at):
             at = at[at + step < len(words)]
@@ -244,18 +249,23 @@ def near_of_lists(rows: pd.DataFrame) -> pd.DataFrame:
                     i, j = i[other], j[other]
                     near = near_same(packed, i, j)
                 else:
-                    other &= lengths[i] != lengths[j]
+                    other &= longer[i] != longer[j]
                     i, j = i[other], j[other]
-                    longer = lengths[i] > lengths[j]
-                    i, j = np.where(longer, j, i), np.where(longer, i, j)
+                    i, j = np.where(longer[i], j, i), np.where(longer[i], i, j)
                     near = near_longer(letters, i, j, size)
                 if near.any():
-                    i, j = i[near], j[near]
-                    found.append(pd.DataFrame({"a": words[i], "b": words[j], "n_a": n[i], "n_b": n[j]}))
+                    found.append(np.stack([i[near], j[near]]) + begin)
             step += 1
-    if not found:
-        return pd.DataFrame({"a": [], "b": [], "n_a": [], "n_b": []}).astype({"a": object, "b": object, "n_a": int, "n_b": int})
-    return pd.concat(found, ignore_index=True).drop_duplicates()
+    i, j = np.concatenate(found, axis=1)
+    words, n = rows["word"].to_numpy(object), rows["n"].to_numpy(np.int64)
+    once = {(a, b): (p, q) for a, b, p, q in zip(words[i], words[j], n[i].tolist(), n[j].tolist(), strict=True)}
+    rows = [(a.decode("latin-1"), b.decode("latin-1"), p, q) for (a, b), (p, q) in once.items()]
+    return pd.DataFrame(rows, columns=["a", "b", "n_a", "n_b"])
+
+
+def in_slices(pairs: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    for i in range(0, len(pairs), ROWS):
+        yield pairs.iloc[i : i + ROWS]
 
 
 def near_words(words: DataFrame, least_length: int = 7) -> DataFrame:
@@ -272,12 +282,16 @@ def near_words(words: DataFrame, least_length: int = 7) -> DataFrame:
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
-                (*key, word, n)
-                for word, n in zip(batch["word"], batch["n"], strict=True)
+                (*key, raw, n)
+                for word, raw, n in zip(
+                    batch["word"], map(lambda w: w.encode("latin-1"), batch["word"]), batch["n"], strict=True
+                )
                 for key in merged_lists(word, least_length, frequent)
             ]
             yield pd.DataFrame(rows, columns=["kind", "size", "list", "word", "n"])
 
+    order = ["kind", "size", "block"]
+
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest: list[pd.DataFrame] = []
         held = 0
@@ -286,19 +300,20 @@ def near_words(words: DataFrame, least_length: int = 7) -> DataFrame:
             held += len(batch)
             if held >= ROWS:
                 rows = pd.concat(rest, ignore_index=True)
-                last = rows["block"].iloc[-1]
                 # The last list may go on in the next batch.
-                cut = int((rows["block"] == last).to_numpy().argmax())
+                last = np.logical_and.reduce([rows[c].to_numpy() == rows[c].iloc[-1] for c in order])
+                cut = int(last.argmax())
                 if cut:
-                    yield near_of_lists(rows.iloc[:cut])
+                    yield from in_slices(near_of_lists(rows.iloc[:cut]))
                 rest = [rows.iloc[cut:]]
                 held = len(rows) - cut
         if rest:
-            yield near_of_lists(pd.concat(rest, ignore_index=True))
+            yield from in_slices(near_of_lists(pd.concat(rest, ignore_index=True)))
 
     with _batches(spark, WORD_ROWS):
-        rows = words.mapInPandas(spread, "kind byte, size int, list string, word string, n long")
-        lists = written(rows, "lists")
+        rows = words.mapInPandas(spread, "kind byte, size int, list string, word binary, n long")
+        # Lists that share a hash are merged together, which only adds comparisons.
+        lists = written(rows.withColumn("list", F.xxhash64("list")), "lists")
         keys = ["kind", "size", "list"]
         long = lists.groupBy(*keys).count().filter(F.col("count") > BLOCK)
         long = written(long.withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count"), "long")
@@ -306,13 +321,13 @@ def near_words(words: DataFrame, least_length: int = 7) -> DataFrame:
         own = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
         others = F.when(F.col("parts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
         dealt = dealt.select(*keys, "word", "n", own.alias("own"), F.explode(others).alias("other"))
-        name = F.concat_ws(
-            " ", "kind", "size", "list", F.least("own", "other"), F.greatest("own", "other")
+        name = F.when(F.col("other") < 0, F.col("list")).otherwise(
+            F.xxhash64("list", F.least("own", "other"), F.greatest("own", "other"))
         )
         # In a block of one part all are compared, in one of two only across them.
         side = F.when((F.col("other") < 0) | (F.col("own") == F.col("other")), F.lit(-1)).otherwise(F.col("own"))
         blocks = dealt.select("kind", "size", name.alias("block"), side.alias("side"), "word", "n")
-        blocks = blocks.repartition("block").sortWithinPartitions("block")
+        blocks = blocks.repartition(*order).sortWithinPartitions(*order)
         found = blocks.mapInPandas(compared, "a string, b string, n_a long, n_b long")
         one = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                            F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
