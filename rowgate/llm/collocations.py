@@ -42,11 +42,11 @@ BUDGET = 1_000_000
 MOST_GROUPS = 65_536
 SLOTS = 1 << 16
 # Words whose suffixes a task combines before it sends them.
-PACKET_WORDS = 3_000_000
+PACKET_WORDS = 1_000_000
 # Text hashed in one round of array work.
-ROUND_BYTES = 2 << 20
+ROUND_BYTES = 1 << 20
 # Distinct words that a task counts before it hands the counts on.
-COUNTED = 400_000
+COUNTED = 150_000
 # Bits of the filter of frequent nodes: 16 a node, 16 MB at most. A full filter only
 # lets through suffixes that turn out rare.
 MOST_BITS = 1 << 27
@@ -391,7 +391,7 @@ def subtrees(docs: DataFrame, hashing: Hashing, parts: Parts, least: int) -> Dat
                 rows = np.frombuffer(body, np.uint64).reshape(width + 1, -1)
                 bodies.append((rows[:-1], rows[-1]))
                 size += rows.shape[1]
-                if size > 2 * BUDGET:
+                if size > BUDGET and len(bodies) > 1:
                     compact()
         if bodies:
             yield from nodes()
