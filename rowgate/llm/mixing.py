@@ -38,12 +38,15 @@ def tempered_rates(docs: DataFrame, power: float = TEMPERATURE) -> DataFrame:
 def rates_for(sizes: DataFrame, weights: DataFrame) -> DataFrame:
     """(source, rate) from (source, bytes) and (source, weight).
 
-    Two totals reach the driver.
+    A source without bytes has rate 1, as have all where no weight is above 0. Two
+    totals reach the driver.
     """
     both = sizes.alias("s").join(
         weights.alias("w"), F.col("s.source").eqNullSafe(F.col("w.source")), "left"
     ).select("s.source", "s.bytes", F.coalesce("w.weight", F.lit(0.0)).alias("weight"))
     totals = both.agg(F.sum("bytes"), F.sum("weight")).first()
+    if not totals[1]:
+        return both.select("source", F.lit(1.0).alias("rate"))
     rate = F.col("weight") / F.lit(totals[1]) * F.lit(totals[0]) / F.col("bytes")
     return both.select(
         "source", F.when(F.col("bytes") > 0, rate).otherwise(F.lit(1.0)).alias("rate")
@@ -90,18 +93,18 @@ def mixed(
     broadcast while they are few; the documents are shuffled once, by a key that
     no source or document dominates, and lie in the key's order.
     """
-    named = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
-    id_text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    drawn = joined(docs, named, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
-        "_copies", copies(seed, id_text, F.col("_rate"))
-    )
-    out = drawn.filter("_copies > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))
-    )
-    place = F.md5(F.concat_ws(":", F.lit(seed), F.lit("place"), id_text, F.col("_copy")))
-    out = with_columns(out, copy=F.col("_copy"), shuffle_key=place).drop(
-        "_source", "_rate", "_copies", "_copy"
-    )
+    named = rates.select(F.col("source").alias("of"), "rate")
+    taken = {"copy", "shuffle_key"}
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken))
+    id_text = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null"))
+    # Packed rows, so that their columns may have any names.
+    packed = docs.select(row.alias("row"), F.col("source"), id_text.alias("id"))
+    drawn = joined(packed, named, F.col("source").eqNullSafe(F.col("of")))
+    number = copies(seed, F.col("id"), F.col("rate"))
+    drawn = drawn.select("row", "id", number.alias("copies")).filter("copies > 0")
+    out = drawn.select("row", "id", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    place = F.md5(F.concat_ws(":", F.lit(seed), F.lit("place"), F.col("id"), F.col("copy")))
+    out = out.select("row.*", "copy", place.alias("shuffle_key"))
     return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowgate.llm.frames import read, text_of
+from rowgate.llm.frames import read, text_of, written
 
 # The generator of the published algorithm.
 MULTIPLIER = 2862933555777941757
@@ -61,9 +61,12 @@ def numbered(rows: DataFrame, shard: str, order: list[str], slot: str = "slot")
     """Gapless positions from 0 inside every shard, without one task a shard.
 
     A shard is cut into hash ranges of about ``ROWS_PER_RANGE`` rows; a range
-    starts after the rows of the ranges before it.
+    starts after the rows of the ranges before it. Rows are written with a number of
+    their own first, which spreads equal ones over the ranges too.
     """
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
     ranges = rows.count() // ROWS_PER_RANGE + 1
+    order = [*order, "_row"]
     part = F.pmod(F.xxhash64(*order), F.lit(ranges))
     rows = rows.withColumn("_range", part)
     before = W.partitionBy(shard).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
@@ -77,7 +80,7 @@ def numbered(rows: DataFrame, shard: str, order: list[str], slot: str = "slot")
         rows.withColumn("_inside", inside)
         .join(starts, [shard, "_range"])
         .withColumn(slot, (F.col("_start") + F.col("_inside")).cast("long"))
-        .drop("_range", "_inside", "_start")
+        .drop("_range", "_inside", "_start", "_row")
     )
 
 

@@ -62,3 +62,15 @@ def test_same_draw_again_whole_rows_and_edges(spark, docs):
     other = mixing.mixed(frame, rates, seed="other").collect()
     assert sorted(map(str, one)) != sorted(map(str, other))
     assert mixing.mixed(docs([]), rates).collect() == []
+
+
+def test_columns_may_have_any_names_and_weights_may_be_missing(spark, docs):
+    rows = [(i, "a b c", "en", f"s{i % 2}", 5, i, "x", 2.0, 3) for i in range(40)]
+    frame = docs(rows, ", _rate long, rate string, of double, copies int")
+    sizes = frame.groupBy("source").agg(F.count("*").cast("double").alias("bytes"))
+    none = spark.createDataFrame([("s0", 0.0)], "source string, weight double")
+    rates = mixing.rates_for(sizes, none)
+    assert {r.rate for r in rates.collect()} == {1.0}
+    found = mixing.mixed(frame, rates)
+    assert found.columns == [*frame.columns, "copy", "shuffle_key"]
+    assert all((r["_rate"], r.rate, r.of, r.copies) == (r.doc_id, "x", 2.0, 3) for r in found.collect())

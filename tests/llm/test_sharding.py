@@ -62,3 +62,13 @@ def test_edge_rows(docs, stored, spark, monkeypatch):
     clash = docs([(1, "a", "en", "s", 1, "old")], ", shard string")
     assert sharding.assign(clash, "doc_id").first().shard == jump_one(key_of(1), 24)
     assert sharding.assign(docs([]), "doc_id").collect() == []
+
+
+def test_equal_rows_are_numbered_by_many_tasks(spark, docs, stored, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_RANGE", 10)
+    folder = stored(documents=docs([(None, None)] * 200 + [(1, "x")] * 50))
+    found = sharding.op7_jump_sharding(spark, folder).collect()
+    assert len(found) == 250
+    for shard in {r.shard for r in found}:
+        slots = sorted(r.slot for r in found if r.shard == shard)
+        assert slots == list(range(len(slots)))
