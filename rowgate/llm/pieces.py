@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from rowgate.llm.frames import read, text_of, with_columns
 
 SPACE = "▁"
-# Words and pairs of pieces that a Python process remembers.
-REMEMBERED_WORDS = 200_000
+# Words and pairs of pieces that a Python process remembers. Words are kept in two
+# generations of this size: what the older one holds and is met again moves on.
+REMEMBERED_WORDS = 350_000
 REMEMBERED_PAIRS = 1_000_000
 # Longer words are encoded anew each time.
 LONGEST_REMEMBERED = 64
@@ -127,8 +128,13 @@ class Model:
         # Whether a space mark can only begin a piece, other space marks aside.
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", t) for t in self.ids)
         self.shown = [t.replace(SPACE, " ") if k == NORMAL else "" for t, k in zip(self.texts, self.kinds, strict=True)]
-        self._pairs: dict[tuple[int, int], bool] = {}
+        # A byte below 128 is a character by itself, whatever is around it.
+        for byte, i in enumerate(self.bytes[:128]):
+            self.shown[i] = chr(byte)
+        self.special = frozenset([*self.bytes[128:], *(i for i, k in enumerate(self.kinds) if k == UNKNOWN)])
+        self._pairs: dict[int, bool] = {}
         self._words: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging, best score first, leftmost on ties."""
@@ -147,56 +153,62 @@ class Model:
 
     def compatible(self, first: int, second: int) -> bool:
         """Whether merging keeps the two pieces apart and whole; ``first`` -1: the second alone."""
-        known = self._pairs.get((first, second))
-        if known is None:
-            parts = [self.texts[second]] if first < 0 else [self.texts[first], self.texts[second]]
-            known = self.merged("".join(parts)) == parts
-            if len(self._pairs) >= REMEMBERED_PAIRS:
-                self._pairs.clear()
-            self._pairs[first, second] = known
-        return known
+        parts = [self.texts[second]] if first < 0 else [self.texts[first], self.texts[second]]
+        fits = self.merged("".join(parts)) == parts
+        if len(self._pairs) >= REMEMBERED_PAIRS:
+            self._pairs.clear()
+        self._pairs[first * len(self.texts) + second] = fits
+        return fits
 
     def walked(self, text: str) -> list[int]:
         """The ids of a text that consists of known characters."""
-        longest = [-1] * len(text)
+        size, lengths, shorter, known = len(text), self.lengths, self.shorter, self._pairs.get
+        longest = [-1] * (size + 1)
         for end, piece in self.matches.iter(text):
             # Ends come in rising order, so what stays at a place is its longest match.
-            longest[end - self.lengths[piece] + 1] = piece
-        failed = bytearray(len(text) // 8 + 1)
+            longest[end - lengths[piece] + 1] = piece
+        failed = None
         taken: list[int] = []
-        at, piece = 0, longest[0] if text else -1
-        while at < len(text):
-            before = taken[-1] if taken else -1
+        at, piece, before = 0, longest[0], -1
+        while at < size:
+            row = before * len(lengths)
             while piece >= 0:
-                end = at + self.lengths[piece]
-                if not failed[end >> 3] >> (end & 7) & 1 and self.compatible(before, piece):
-                    break
-                piece = self.shorter[piece]
+                end = at + lengths[piece]
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    fits = known(row + piece)
+                    if fits is None:
+                        fits = self.compatible(before, piece)
+                    if fits:
+                        break
+                piece = shorter[piece]
             if piece >= 0:
                 taken.append(piece)
-                at = end
-                piece = longest[at] if at < len(text) else -1
+                at, before = end, piece
+                piece = longest[at]
             else:
+                if failed is None:
+                    failed = bytearray(size // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = taken.pop()
-                at -= self.lengths[piece]
+                before = taken[-1] if taken else -1
+                at -= lengths[piece]
         return taken
 
     def word(self, text: str) -> tuple[int, ...]:
-        known = self._words.get(text)
-        if known is not None:
-            return known
-        if self.characters.issuperset(text):
-            ids = tuple(self.walked(text))
-        else:
-            # No piece holds an unknown character, so none reaches over one.
-            ids = ()
-            for usual, run in groupby(text, self.characters.__contains__):
-                part = "".join(run)
-                ids += tuple(self.walked(part)) if usual else tuple(self.bytes[b] for b in part.encode("utf-8"))
+        """The ids of a word that the younger generation does not hold."""
+        ids = self._older.get(text)
+        if ids is None:
+            if self.characters.issuperset(text):
+                ids = tuple(self.walked(text))
+            else:
+                # No piece holds an unknown character, so none reaches over one.
+                ids = ()
+                for usual, run in groupby(text, self.characters.__contains__):
+                    part = "".join(run)
+                    ids += tuple(self.walked(part)) if usual else tuple(self.bytes[b] for b in part.encode("utf-8"))
         if len(text) <= LONGEST_REMEMBERED:
             if len(self._words) >= REMEMBERED_WORDS:
-                self._words.clear()
+                self._older, self._words = self._words, {}
             self._words[text] = ids
         return ids
 
@@ -206,8 +218,13 @@ class Model:
             marked = SPACE + marked
         words = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", marked) if self.by_word else [marked]
         ids: list[int] = []
+        known = self._words.get
         for word in words:
-            ids += self.word(word)
+            found = known(word)
+            if found is None:
+                found = self.word(word)
+                known = self._words.get
+            ids += found
         return [*ids, self.end] if end else ids
 
     def decode(self, ids: list[int]) -> str:
@@ -216,7 +233,7 @@ class Model:
         while begin < len(ids) and self.kinds[ids[begin]] == CONTROL:
             begin += 1
         strip = self.prefixed and begin < len(ids) and self.texts[ids[begin]].startswith(SPACE)
-        if not any(self.kinds[i] in (BYTE, UNKNOWN) for i in set(ids)):
+        if self.special.isdisjoint(ids):
             text = "".join([self.shown[i] for i in ids])
         else:
             parts = []
