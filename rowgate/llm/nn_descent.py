@@ -31,7 +31,8 @@ from rowgate.llm.frames import joined, read, written
 NEIGHBOURS = 30
 # Neighbours of each kind (new or old, forward or backward) that a round compares.
 SAMPLE = 8
-ROUNDS = 3
+# Rounds at most; fewer when a round changes less than this part of all neighbours.
+ROUNDS, CHANGED = 5, 0.01
 # Vectors around which the starting blocks are drawn, one for so many vectors and at
 # most MOST_PIVOTS: a bounded sample of the table. So many times blocks are drawn.
 PER_PIVOT, MOST_PIVOTS = 1024, 4096
@@ -190,15 +191,20 @@ def starting_edges(nodes: DataFrame, total: int) -> DataFrame:
     return dealt.mapInPandas(compared, EDGES)
 
 
-def local_join(graph: DataFrame, nodes: DataFrame, round_no: int) -> DataFrame:
-    """Better neighbours (node, other, near) found among neighbours of neighbours."""
+def sampled(graph: DataFrame, round_no: int) -> DataFrame:
+    """(node, other, fresh, forward) of the neighbours that a round compares; written."""
     both = graph.select("node", "other", "fresh", F.lit(True).alias("forward")).union(
         graph.select(F.col("other"), F.col("node"), "fresh", F.lit(False))
     )
     drawn = W.partitionBy("node", "fresh", "forward").orderBy(
         F.xxhash64("node", "other", F.lit(round_no))
     )
-    sample = both.withColumn("rank", F.row_number().over(drawn)).filter(F.col("rank") <= SAMPLE)
+    ranked = both.withColumn("rank", F.row_number().over(drawn)).filter(F.col("rank") <= SAMPLE)
+    return written(ranked.drop("rank"), "sample")
+
+
+def local_join(graph: DataFrame, nodes: DataFrame, sample: DataFrame) -> DataFrame:
+    """Better neighbours (node, other, near) found among neighbours of neighbours."""
     members = sample.groupBy("node", "other").agg(F.max("fresh").alias("fresh"))
     floors = graph.groupBy("node").agg(
         F.when(F.count("*") >= NEIGHBOURS, F.min("near")).otherwise(F.lit(-3.4e38)).alias("floor")
@@ -235,14 +241,21 @@ def neighbour_graph(nodes: DataFrame) -> DataFrame:
     once = starting_edges(nodes, total).groupBy("node", "other").agg(F.max("near").alias("near"))
     graph = written(best(once).withColumn("fresh", F.lit(True)), "graph")
     for round_no in range(ROUNDS):
-        # Neighbours that took part in a comparison as new ones are old from now on;
-        # a sample leaves some for later, which the next rounds' samples draw from.
-        found = local_join(graph, nodes, round_no).select("node", "other", "near", F.lit(True).alias("fresh"))
-        old = graph.select("node", "other", "near", F.lit(False).alias("fresh"))
-        both = old.union(found).groupBy("node", "other").agg(
-            F.max("near").alias("near"), F.min("fresh").alias("fresh")
+        sample = sampled(graph, round_no)
+        found = local_join(graph, nodes, sample).select("node", "other", "near", F.lit(True).alias("fresh"))
+        # Only new neighbours that were compared are old from now on; those that the
+        # sample left out stay new for the next rounds.
+        used = sample.filter("fresh and forward").select("node", "other", F.lit(True).alias("used"))
+        kept = graph.join(used, ["node", "other"], "left")
+        kept = kept.select("node", "other", "near", (F.col("fresh") & F.col("used").isNull()).alias("fresh"), F.lit(False).alias("found"))
+        both = kept.union(found.withColumn("found", F.lit(True))).groupBy("node", "other").agg(
+            F.max("near").alias("near"), F.min("fresh").alias("fresh"), F.min("found").alias("found")
         )
-        graph = written(best(both), "graph")
+        step = written(best(both), "graph")
+        graph = step.drop("found")
+        changes = step.agg(F.count_if("found"), F.count("*")).first()
+        if changes[0] < CHANGED * changes[1]:
+            break
     return graph
 
 

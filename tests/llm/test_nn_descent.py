@@ -66,3 +66,18 @@ def test_fewer_candidates_than_asked_for_and_empty_tables(spark):
     ]
     assert n.nearest(frame.limit(1), F.lit(True)).collect() == []
     assert n.nearest(frame.limit(0), F.lit(True)).collect() == []
+
+
+def test_descent_reaches_the_recall_from_small_random_blocks(spark, monkeypatch):
+    """Blocks of 64 of 2,000 vectors hold a few per cent of the neighbours; rounds find the rest."""
+    monkeypatch.setattr(n, "BLOCK", 64)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=12)], 0) for i in range(2000)]
+    found = n.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0).collect()
+    vectors = {r[0]: r[1] for r in rows}
+    truth = brute(vectors, range(0, 2000, 50), n.TOP)
+    mine = {}
+    for r in found:
+        mine.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = sum(len(mine[q] & {i for i, _ in own}) for q, own in truth.items())
+    assert hits / (n.TOP * len(truth)) >= 0.9
