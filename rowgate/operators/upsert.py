@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowgate.operators.dedup import latest_per_key
@@ -77,6 +77,23 @@ def affected_rows(merged: DataFrame) -> DataFrame:
     )
 
 
+def observed(merged: DataFrame, observation: Observation) -> DataFrame:
+    """``merged``, which tells ``observation`` its inserted, updated and affected rows while
+    it is written: the counts take no pass of their own (A3).
+
+    A stage that is run again, because an executor with its output was lost, is counted
+    again, so these are figures for the log and decide nothing.
+    """
+    inserted = F.count_if(F.col("action") == INSERT)
+    updated = F.count_if(F.col("action") == UPDATE)
+    return merged.observe(
+        observation,
+        inserted.alias("inserted"),
+        updated.alias("updated"),
+        (inserted + updated).alias("affected"),
+    )
+
+
 def not_yet_merged(
     events: DataFrame, merged_jobs: DataFrame, merge_job_id: Column
 ) -> DataFrame:

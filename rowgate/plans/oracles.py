@@ -430,6 +430,9 @@ where object_name like '%-1.csv'""",
         "created_at, updated_at, action from merged",
         "merge_affected": f"""{MERGED} select count(*) filter (action = 'insert') as inserted,
   count(*) filter (action = 'update') as updated, count(*) filter (action <> 'keep') as affected from merged""",
+        "merge_counts": f"""{MERGED} select count(*) filter (action = 'insert') as inserted,
+  count(*) filter (action = 'update') as updated, count(*) filter (action <> 'keep') as affected,
+  count(*) as stored from merged""",
         "merge_once": f"""with {READINGS}, runs as (select distinct import_id,
   sha256(concat('EnergyImportStaged|', import_id)) as event_id from readings)
 select import_id, event_id, concat('energy_merge_', sha256(event_id)) as merge_job_id from runs

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowgate import energy
@@ -248,6 +248,18 @@ def merge_affected(spark, sf_dir):
     return upsert.affected_rows(_merged(spark, sf_dir).select("action"))
 
 
+@query
+def merge_counts(spark, sf_dir):
+    """A3, M1: the affected rows of a merge, observed while its result is written."""
+    layout = wh.Warehouse(scratch_path(spark, "merge-counts")).curated
+    counted = Observation()
+    merged = upsert.observed(_merged(spark, sf_dir), counted).drop("action")
+    tables.replace_load(wh.with_month(merged), layout)
+    counts = counted.get
+    stored = tables.read_table(spark, layout).agg(F.count("*").alias("stored"))
+    return stored.select(*(F.lit(n).alias(name) for name, n in counts.items()), "stored")
+
+
 @query
 def merge_once(spark, sf_dir):
     """Repeated staged events; a third of the jobs has run before."""

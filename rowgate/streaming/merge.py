@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -91,6 +91,22 @@ def publish_completed(
     )
 
 
+def store_merges(
+    warehouse: Warehouse, merged: DataFrame, counts: dict[str, int], batch: Batch
+) -> None:
+    """A3: one row per merged import, with the affected rows of its load."""
+    rows = merged.select(
+        "import_id",
+        "staged_event_id",
+        "merge_job_id",
+        F.col("staging_row_count").alias("row_count"),
+        F.lit(batch.load).alias("load"),
+        *(F.lit(counts[n]).cast("bigint").alias(f"load_{n}") for n in ("inserted", "updated", "affected")),
+        batch.as_of.alias("merged_at"),
+    )
+    append_log(rows, warehouse.merges)
+
+
 def merge_batch(
     spark: SparkSession, delivered: DataFrame, warehouse: Warehouse, batch: Batch
 ) -> None:
@@ -161,11 +177,13 @@ def merge_batch(
             merged = upsert.upsert(
                 target, source, "record_id", energy.UPDATED_COLUMNS, as_of
             )
+            counted = Observation()
             replace_partitions(
-                with_month(merged.drop("action")),
+                with_month(upsert.observed(merged, counted).drop("action")),
                 warehouse.curated,
                 f"{warehouse.pending}/{batch.load}",
             )
+            store_merges(warehouse, matching, counted.get, batch)
         done = outcomes.join(
             matching.select("import_id"), "import_id", "left_semi"
         ).select(*outcomes.columns)
