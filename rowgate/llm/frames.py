@@ -73,7 +73,16 @@ def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned and that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def joined(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm.frames import read, text_of, written
+from rowgate.llm.frames import drop_written, read, text_of, written
 from rowgate.llm.nn_descent import runs, slices
 from rowgate.llm.shingles import mixed
 
@@ -546,6 +546,8 @@ def without_repeats(
     cool = answered(asked.filter("kind = 2"), answer_fragments)
     passages = answered(asked.filter("kind = 3"), answer_passages)
     told = written(cool.union(passages), "told", "none")
+    # The answers are complete; the questions are as large as the texts.
+    drop_written(asked)
     return removed(packets, states, told, buckets=buckets, with_kept=with_kept)
 
 
