@@ -286,8 +286,9 @@ decided as (
 
 def _request(columns: str, old: str = "r.*") -> str:
     return f"""with {RUNS},
-req as (select {IMPORT_ID} as import_id, c_custkey as c, concat('event-', c_custkey, '-0') as event_id,
-               case when c_custkey // 12 % 4 = 0 then true else false end as other {columns} from customer),
+req as (select {IMPORT_ID} as import_id, c_custkey as c, concat('event-', c_custkey, '-', n) as event_id,
+               case when c_custkey // 12 % 4 = 0 then true else false end as other {columns}
+        from customer, (values (0), (1)) copies(n) where n = 0 or c_custkey % 10 = 0),
 joined as (select q.import_id as q_import_id, q.c as qc, q.event_id as q_event_id, q.other,
                   {old} from req q left join runs r on q.import_id = r.import_id)"""
 
