@@ -5,11 +5,15 @@ neighbours, forward and backward, with their vectors and compares them with each
 other: neighbours of a vector are likely neighbours of one another. New neighbours
 are compared, old pairs were before. Queries then search the graph greedily: the best
 unexpanded vectors of a query's pool are expanded to their neighbours, round after
-round; the best of the pool are scored exactly.
+round, until every vector of every pool is expanded; the best of the pool are scored
+exactly. Queries near each other search as a group: a vector that one of them reaches
+is sent once and scored for all of them.
 
 Nearness is the inner product. The graph lives in the space where each vector has one
 coordinate more, so that all have the same length and the nearest by inner product is
-the nearest by angle. Equal vectors are one node; a node brings its smallest ids.
+the nearest by distance. The coordinate is worked out in double precision where it is
+needed, so one vector much longer than the others does not blur these. Equal vectors
+are one node; a node brings its smallest ids.
 
 Each round is a table in the shared folder. A round's joins shuffle a bounded number of
 rows per vector; a vector that very many others have as neighbour gets a sample of them,
@@ -39,10 +43,15 @@ PER_PIVOT, MOST_PIVOTS = 1024, 4096
 STARTS = 6
 # Vectors of a starting block that are compared with each other.
 BLOCK = 2048
-# Best unexpanded vectors of a pool expanded in a search round, rounds, and pool size.
-EXPANDED = 20
-SEARCHES = 5
-POOL = 160
+# Best unexpanded vectors of a pool expanded in a search round, rounds at most, and pool size.
+EXPANDED = 30
+SEARCHES = 12
+POOL = 240
+# Queries that search together, about, and at most twice as many.
+GROUP = 64
+# Vectors every group starts from besides its own: drawn ones, and the longest, which
+# have large inner products with whatever points their way.
+DRAWN, LONGEST = 768, 256
 # Best of a pool that are scored exactly: three times what is returned.
 SCORED = 60
 TOP = 20
@@ -72,9 +81,17 @@ def slices(frame: pd.DataFrame, key: str) -> Iterator[pd.DataFrame]:
 
 
 def matrix(column: pd.Series) -> np.ndarray:
-    """The vectors of a column of half-precision bytes, all of one width."""
-    numbers = np.frombuffer(b"".join(column), np.float16)
-    return numbers.reshape(len(column), -1 if len(column) else 0).astype(np.float32)
+    """The vectors of a column of single-precision bytes, all of one width, as doubles."""
+    numbers = np.frombuffer(b"".join(column), np.float32)
+    return numbers.reshape(len(column), -1 if len(column) else 0).astype(np.float64)
+
+
+def nearness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Minus the squared distances of lifted vectors; the longest has about length 1."""
+    squares = [(x * x).sum(axis=1) for x in (a, b)]
+    lifts = [np.sqrt(np.maximum(1.0 - x, 0.0)) for x in squares]
+    apart = squares[0][:, None] + squares[1][None, :] - 2.0 * (a @ b.T)
+    return -(np.maximum(apart, 0.0) + (lifts[0][:, None] - lifts[1][None, :]) ** 2)
 
 
 def valid_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -90,22 +107,23 @@ def valid_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedd
 
 
 def distinct_nodes(rows: DataFrame, most: int) -> DataFrame:
-    """(node, vec, members): one row per distinct vector, with its ``most`` smallest ids.
+    """(node, vec, length, members): one row per distinct vector, with its ``most`` smallest ids.
 
-    ``vec`` has the additional coordinate, scaled to length 1, in half precision: it
-    guides graph and search, while final scores come from the original vectors.
+    ``vec`` is in single precision, scaled so that the longest has length 1: it guides
+    graph and search, while final scores come from the original vectors.
     """
-    top = rows.agg(F.max(F.aggregate("values", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
-    width = rows.agg(F.max(F.size("values"))).first()[0]
+    # Divided by the largest component first, so that no square is infinite.
+    size = rows.agg(F.max(F.aggregate("values", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x))))).first()[0]
+    square = F.aggregate("values", F.lit(0.0), lambda s, x: s + (x / size) * (x / size))
+    top, width = rows.agg(F.max(square), F.max(F.size("values"))).first()
 
-    def lifted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scaled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for v in batch["values"]:
-                rest = np.sqrt(max(top - float(np.dot(v, v)), 0.0))
-                padded = np.pad(v, (0, width - len(v)))
-                out.append((np.append(padded, rest) / np.sqrt(top)).astype(np.float16).tobytes())
-            yield batch[["node", "members"]].assign(vec=out)
+            out = [np.pad(v / size / np.sqrt(top), (0, width - len(v))) for v in batch["values"]]
+            yield batch[["node", "members"]].assign(
+                vec=[v.astype(np.float32).tobytes() for v in out],
+                length=[float(np.linalg.norm(v)) for v in out],
+            )
 
     rank = F.row_number().over(W.partitionBy("values").orderBy("vec_id"))
     # The group limit keeps a vector shared by very many ids from being gathered.
@@ -113,7 +131,7 @@ def distinct_nodes(rows: DataFrame, most: int) -> DataFrame:
     groups = first.groupBy("values").agg(
         F.min("vec_id").alias("node"), F.array_sort(F.collect_list("vec_id")).alias("members")
     )
-    return groups.mapInPandas(lifted, "node long, members array<long>, vec binary")
+    return groups.mapInPandas(scaled, "node long, members array<long>, vec binary, length double")
 
 
 def best(edges: DataFrame, count: int = NEIGHBOURS) -> DataFrame:
@@ -156,7 +174,7 @@ def starting_edges(nodes: DataFrame, total: int) -> DataFrame:
         for batch in batches:
             vectors = matrix(batch["vec"])
             for start, own in enumerate(centres):
-                cell = start * MOST_PIVOTS + (vectors @ own.T).argmax(axis=1)
+                cell = start * MOST_PIVOTS + nearness(vectors, own).argmax(axis=1)
                 yield batch.assign(cell=cell.astype(np.int32))
 
     cells = nodes.select("node", "vec").mapInPandas(placed, "node long, vec binary, cell int")
@@ -171,7 +189,7 @@ def starting_edges(nodes: DataFrame, total: int) -> DataFrame:
                 ids, vectors = group["node"].to_numpy(), matrix(group["vec"])
                 if len(ids) < 2:
                     continue
-                near = vectors @ vectors.T
+                near = nearness(vectors, vectors)
                 np.fill_diagonal(near, -np.inf)
                 count = min(NEIGHBOURS, len(ids) - 1)
                 at = np.argpartition(-near, count - 1, axis=1)[:, :count]
@@ -223,7 +241,7 @@ def local_join(graph: DataFrame, nodes: DataFrame, sample: DataFrame) -> DataFra
                     continue
                 ids, floor = group["other"].to_numpy(), group["floor"].to_numpy()
                 vectors = matrix(group["vec"])
-                near = vectors @ vectors.T
+                near = nearness(vectors, vectors)
                 pairs = fresh[:, None] | fresh[None, :]
                 pairs &= near > floor[:, None]
                 pairs &= ids[:, None] != ids[None, :]
@@ -259,74 +277,100 @@ def neighbour_graph(nodes: DataFrame) -> DataFrame:
     return graph
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query, node) pools of (query, home, vec): the best nodes found from ``home``.
+def grouped(nodes: DataFrame, queries: DataFrame) -> DataFrame:
+    """(group, query, home, vec): queries whose nearest drawn vector is the same share a
+    group, or one of several with about ``GROUP`` queries; written."""
+    usual = min(max(queries.count() // GROUP, 1), MOST_PIVOTS)
+    drawn = nodes.select("node", "vec").orderBy(F.xxhash64("node", F.lit("group")), "node")
+    centres = matrix(drawn.limit(usual).toPandas()["vec"])
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cell = nearness(matrix(batch["vec"]), centres).argmax(axis=1)
+            yield batch.assign(cell=cell.astype(np.int32))
+
+    cells = queries.mapInPandas(placed, "query long, home long, vec binary, cell int")
+    sizes = written(cells.groupBy("cell").agg(F.ceil(F.count("*") / GROUP).alias("parts")), "parts")
+    part = F.pmod(F.xxhash64("query"), F.col("parts"))
+    found = joined(cells, sizes, "cell").withColumn("group", F.xxhash64("cell", part))
+    return written(found.select("group", "query", "home", "vec"), "asked", "none")
 
-    ``vec`` is the query without the additional coordinate, so that nearness is the
-    inner product. A pool has at most ``POOL`` nodes.
+
+POOLS = "group long, query long, node long, near double, expanded boolean, chosen boolean"
+
+
+def advanced(key: tuple, rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+    """The pools of a group after new nodes, the rows with a vector, are scored.
+
+    ``chosen`` are the nodes to expand next; what one query expands counts for all.
     """
+    own = own.sort_values("query", ignore_index=True)
+    fresh = rows["vec"].notna()
+    new, old = rows[fresh], rows[~fresh]
+    queries = matrix(own["vec"])
+    ids = new["node"].to_numpy(np.int64)
+    vectors = matrix(new["vec"]).reshape(len(ids), queries.shape[1])
+    pools = {q: part for q, part in old.groupby("query")}
+    found = []
+    for q, vector in zip(own["query"], queries, strict=True):
+        near, node, done = vectors @ vector, ids, np.zeros(len(ids), bool)
+        if len(near) > POOL:
+            # All that ties with the last one stays, the order below decides.
+            kept = near >= np.partition(near, len(near) - POOL)[len(near) - POOL]
+            near, node, done = near[kept], node[kept], done[kept]
+        if q in pools:
+            pool = pools[q]
+            near = np.append(pool["near"].to_numpy(np.float64), near)
+            node = np.append(pool["node"].to_numpy(np.int64), node)
+            done = np.append(pool["expanded"].to_numpy(bool), done)
+        best_first = np.lexsort((node, -near))[:POOL]
+        found.append(pd.DataFrame({"query": q, "node": node[best_first], "near": near[best_first], "expanded": done[best_first]}))
+    expanded = np.unique(np.concatenate([f["node"].to_numpy()[f["expanded"].to_numpy(bool)] for f in found]))
+    chosen = []
+    for f in found:
+        f["expanded"] = f["expanded"].to_numpy(bool) | np.isin(f["node"].to_numpy(), expanded)
+        chosen.append(f["node"].to_numpy()[~f["expanded"].to_numpy(bool)][:EXPANDED])
+    chosen = np.unique(np.concatenate(chosen))
+    out = pd.concat(found, ignore_index=True)
+    out["chosen"] = np.isin(out["node"].to_numpy(), chosen)
+    out["expanded"] |= out["chosen"]
+    return out.assign(group=key[0])[["group", "query", "node", "near", "expanded", "chosen"]]
+
+
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query, node) pools of (query, home, vec): the best nodes found from ``home`` and
+    from drawn and long vectors. A pool has at most ``POOL`` nodes."""
     backward = best(
         graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "near")
     )
     links = written(graph.select("node", "other").union(backward.select("node", "other")).distinct(), "adjacent")
     vectors = nodes.select("node", "vec")
-    pool = queries.select("query", F.col("home").alias("node"))
-    seen = None
-    for round_no in range(SEARCHES):
-        if seen is None:
-            fresh = pool
-        else:
-            order = W.partitionBy("query").orderBy(F.desc("near"), "node")
-            open_ = seen.filter("not expanded").withColumn("rank", F.row_number().over(order))
-            chosen = written(open_.filter(F.col("rank") <= EXPANDED).select("query", "node"), "frontier")
-            step = chosen.join(links, "node").select("query", F.col("other").alias("node")).distinct()
-            fresh = step.join(seen.select("query", "node"), ["query", "node"], "left_anti")
-            marks = chosen.withColumn("chosen", F.lit(True))
-            seen = seen.join(marks, ["query", "node"], "left").select(
-                "query", "node", "near", (F.col("expanded") | F.col("chosen").isNotNull()).alias("expanded")
-            )
-        scored = scored_by(fresh.join(vectors, "node"), queries)
-        scored = scored.withColumn("expanded", F.lit(False))
-        both = scored if seen is None else seen.union(scored)
-        order = W.partitionBy("query").orderBy(F.desc("near"), "node")
-        both = both.withColumn("rank", F.row_number().over(order))
-        seen = written(both.filter(F.col("rank") <= POOL).drop("rank"), "pool")
+    asked = grouped(nodes, queries)
+    drawn = nodes.select("node").orderBy(F.xxhash64("node", F.lit("start")), "node").limit(DRAWN)
+    longest = nodes.orderBy(F.desc("length"), "node").select("node").limit(LONGEST)
+    starts = written(drawn.union(longest).distinct(), "starts")
+    everywhere = asked.select("group").distinct().crossJoin(F.broadcast(starts))
+    homes = asked.select("group", F.col("home").alias("node"))
+    fresh = written(everywhere.union(homes).distinct(), "reached")
+    seen, pool = fresh, None
+    for _ in range(SEARCHES):
+        nothing = (F.lit(None).cast(t).alias(n) for n, t in (("query", "long"), ("near", "double"), ("expanded", "boolean")))
+        rows = fresh.join(vectors.hint("merge"), "node").select("group", "node", *nothing, "vec")
+        if pool is not None:
+            rows = rows.union(pool.select("group", "node", "query", "near", "expanded", F.lit(None).cast("binary")))
+        together = rows.groupBy("group").cogroup(asked.select("group", "query", "vec").groupBy("group"))
+        pool = written(together.applyInPandas(advanced, POOLS), "pool")
+        frontier = pool.filter("chosen").select("group", "node").distinct()
+        step = frontier.join(links.hint("merge"), "node").select("group", F.col("other").alias("node")).distinct()
+        fresh = written(step.join(seen.hint("merge"), ["group", "node"], "left_anti"), "reached")
+        if fresh.isEmpty() and pool.filter("not expanded").isEmpty():
+            break
+        seen = seen.union(fresh)
     order = W.partitionBy("query").orderBy(F.desc("near"), "node")
-    last = seen.withColumn("rank", F.row_number().over(order))
+    last = pool.withColumn("rank", F.row_number().over(order))
     return last.filter(F.col("rank") <= SCORED).select("query", "node")
 
 
-def scored_by(rows: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query, node, near) of (query, node, vec)."""
-    own = queries.select("query", F.col("vec").alias("node_vec")).select(
-        "query", F.lit(None).cast("long").alias("node"), F.col("node_vec").alias("vec")
-    )
-    # The query's own vector comes first among its rows.
-    all_rows = own.union(rows.select("query", "node", "vec")).repartition("query")
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in runs(batches, "query"):
-            out = []
-            for group in slices(run, "query"):
-                if len(group) < 2:
-                    continue
-                vectors = matrix(group["vec"])
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "query": group["query"].iloc[1:],
-                            "node": group["node"].iloc[1:].astype("int64"),
-                            "near": vectors[1:] @ vectors[0],
-                        }
-                    )
-                )
-            if out:
-                yield pd.concat(out)
-
-    ordered = all_rows.sortWithinPartitions("query", F.asc_nulls_first("node"))
-    return ordered.mapInPandas(score, "query long, node long, near float")
-
-
 def nearest(
     vectors: DataFrame, is_query, top: int = TOP, key: str = "vec_id", column: str = "embedding"
 ) -> DataFrame:
@@ -344,21 +388,10 @@ def nearest(
     nodes = written(distinct_nodes(rows, top + 1), "nodes", "none")
     graph = neighbour_graph(nodes)
     members = nodes.select("node", F.explode("members").alias("vec_id"))
-    def flat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            vec = [
-                (np.append(v, 0.0) / np.linalg.norm(v)).astype(np.float16).tobytes()
-                for v in batch["values"]
-            ]
-            yield pd.DataFrame({"query": batch["query"], "home": batch["home"], "vec": vec})
-
-    homes = rows.join(node_of(rows, nodes), "vec_id")
-    width = homes.agg(F.max(F.size("values"))).first()[0]
-    asked = homes.filter(is_query).select(
-        F.col("vec_id").alias("query"), F.col("node").alias("home"),
-        F.concat("values", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("values"))).alias("values"),
-    )
-    asked = written(asked.mapInPandas(flat, "query long, home long, vec binary"), "queries", "none")
+    homes = rows.filter(is_query).join(node_of(rows, nodes), "vec_id")
+    asked = homes.select(F.col("vec_id").alias("query"), F.col("node").alias("home"))
+    asked = asked.join(nodes.select(F.col("node").alias("home"), "vec"), "home").select("query", "home", "vec")
+    asked = written(asked, "queries", "none")
     pools = search(graph, nodes, asked)
     found = pools.join(members, "node").filter("vec_id <> query").select("query", "vec_id")
     scored = found.join(rows, "vec_id").join(

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from rowgate.llm import nn_descent as n
@@ -81,3 +82,24 @@ def test_descent_reaches_the_recall_from_small_random_blocks(spark, monkeypatch)
         mine.setdefault(r.query_id, set()).add(r.vec_id)
     hits = sum(len(mine[q] & {i for i, _ in own}) for q, own in truth.items())
     assert hits / (n.TOP * len(truth)) >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["lengths", "one long vector"])
+def test_recall_on_vectors_of_unlike_lengths(spark, kind):
+    rng = np.random.default_rng(3)
+    matrix = rng.normal(size=(3000, 64))
+    if kind == "lengths":
+        matrix *= np.exp(rng.normal(size=(3000, 1)))
+    else:
+        matrix[7] *= 1e6
+    matrix = matrix.astype(np.float32).astype(np.float64)
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(matrix)], SCHEMA)
+    mine = {}
+    for r in n.nearest(frame, F.col("vec_id") % 60 == 0).collect():
+        mine.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 3000, 60):
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        hits += len(mine[q] & set(np.argsort(-scores)[: n.TOP].tolist()))
+    assert hits / (n.TOP * 50) >= 0.95
