@@ -5,9 +5,10 @@ neighbours, forward and backward, with their vectors and compares them with each
 other: neighbours of a vector are likely neighbours of one another. New neighbours
 are compared, old pairs were before. Queries then search the graph greedily: the best
 unexpanded vectors of a query's pool are expanded to their neighbours, round after
-round, until every vector of every pool is expanded; the best of the pool are scored
-exactly. Queries near each other search as a group: a vector that one of them reaches
-is sent once and scored for all of them.
+round, until every vector of nearly every pool is expanded; the best of the pool are
+scored exactly. Each query scores only what its own pool leads to, so its work is bounded by
+pool and links, however large the table. Vectors stay in cells, to which the queries
+send what they reach; scores that cannot enter a pool are not sent back.
 
 Nearness is the inner product. The graph lives in the space where each vector has one
 coordinate more, so that all have the same length and the nearest by inner product is
@@ -30,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowgate.llm.frames import joined, read, written
+from rowgate.llm.frames import drop_written, joined, read, written
+from rowgate.llm.shingles import mixed
 
 NEIGHBOURS = 30
 # Neighbours of each kind (new or old, forward or backward) that a round compares.
@@ -43,13 +45,15 @@ PER_PIVOT, MOST_PIVOTS = 1024, 4096
 STARTS = 6
 # Vectors of a starting block that are compared with each other.
 BLOCK = 2048
-# Best unexpanded vectors of a pool expanded in a search round, rounds at most, and pool size.
-EXPANDED = 30
+# Best unexpanded vectors of a pool expanded in the first search round, when most are drawn
+# ones, and in later rounds; rounds at most, fewer when less than ``CHANGED`` of the pools have
+# vectors left to expand; pool size.
+FIRST, EXPANDED = 30, 240
 SEARCHES = 12
-POOL = 240
-# Queries that search together, about, and at most twice as many.
-GROUP = 64
-# Vectors every group starts from besides its own: drawn ones, and the longest, which
+POOL = 400
+# Vectors of a cell, about, that are scored together for all queries that reach them.
+CELL = 2048
+# Vectors every query starts from besides its own: drawn ones, and the longest, which
 # have large inner products with whatever points their way.
 DRAWN, LONGEST = 768, 256
 # Best of a pool that are scored exactly: three times what is returned.
@@ -277,98 +281,150 @@ def neighbour_graph(nodes: DataFrame) -> DataFrame:
     return graph
 
 
-def grouped(nodes: DataFrame, queries: DataFrame) -> DataFrame:
-    """(group, query, home, vec): queries whose nearest drawn vector is the same share a
-    group, or one of several with about ``GROUP`` queries; written."""
-    usual = min(max(queries.count() // GROUP, 1), MOST_PIVOTS)
-    drawn = nodes.select("node", "vec").orderBy(F.xxhash64("node", F.lit("group")), "node")
-    centres = matrix(drawn.limit(usual).toPandas()["vec"])
+def cell_of(ids: np.ndarray, cells: int) -> np.ndarray:
+    return (mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(cells)).astype(np.int32)
 
-    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+POOLS = "query long, vec binary, nodes array<long>, near array<double>, expanded array<boolean>, chosen array<long>"
+ASKED = "cell int, query long, floor double, vec binary, nodes array<long>"
+SCORES = "query long, nodes array<long>, near array<double>"
+
+
+def pooled(node: np.ndarray, near: np.ndarray, expanded: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+    """The best ``POOL`` of a query's nodes, which are expanded, and at most ``most`` to expand now."""
+    kept = np.lexsort((node, -near))[:POOL]
+    node, near, expanded = node[kept], near[kept], expanded[kept]
+    now = np.flatnonzero(~expanded)[:most]
+    expanded[now] = True
+    return node, near, expanded, node[now]
+
+
+def first_pools(nodes: DataFrame, queries: DataFrame) -> DataFrame:
+    """Pools of (query, home, vec) from ``home``, drawn and long vectors; written."""
+    drawn = nodes.select("node", "vec").orderBy(F.xxhash64("node", F.lit("start")), "node").limit(DRAWN)
+    longest = nodes.orderBy(F.desc("length"), "node").select("node", "vec").limit(LONGEST)
+    starts = drawn.union(longest).toPandas().drop_duplicates("node")
+    ids, vectors = starts["node"].to_numpy(np.int64), matrix(starts["vec"])
+
+    def begun(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cell = nearness(matrix(batch["vec"]), centres).argmax(axis=1)
-            yield batch.assign(cell=cell.astype(np.int32))
+            out = []
+            own = matrix(batch["vec"])
+            for query, home, vector, near in zip(batch["query"], batch["home"], own, own @ vectors.T, strict=True):
+                others = ids != home
+                node = np.append(ids[others], home)
+                near = np.append(near[others], vector @ vector)
+                out.append((query, *pooled(node, near, np.zeros(len(node), bool), FIRST)))
+            found = pd.DataFrame(out, columns=["query", "nodes", "near", "expanded", "chosen"])
+            found.insert(1, "vec", batch["vec"].to_numpy())
+            yield found
+
+    return written(queries.mapInPandas(begun, POOLS), "pool", "none")
+
+
+def asked_of(pool: DataFrame, links: DataFrame, cells: int) -> DataFrame:
+    """(cell, query, floor, vec, nodes): what each query reaches by its chosen nodes, a row
+    per cell; ``floor`` is what a node needs to get into its pool."""
+    chosen = pool.select("query", F.explode("chosen").alias("node"))
+    reached = chosen.join(links.hint("merge"), "node").groupBy("query").agg(
+        F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")
+    )
+    floor = F.when(F.size("near") >= POOL, F.array_min("near")).otherwise(F.lit(float("-inf")))
+    reached = pool.join(reached.hint("merge"), "query").select(
+        "query", floor.alias("floor"), "vec", F.array_except("others", "nodes").alias("nodes")
+    )
 
-    cells = queries.mapInPandas(placed, "query long, home long, vec binary, cell int")
-    sizes = written(cells.groupBy("cell").agg(F.ceil(F.count("*") / GROUP).alias("parts")), "parts")
-    part = F.pmod(F.xxhash64("query"), F.col("parts"))
-    found = joined(cells, sizes, "cell").withColumn("group", F.xxhash64("cell", part))
-    return written(found.select("group", "query", "home", "vec"), "asked", "none")
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for query, floor, vec, nodes in batch.itertuples(index=False):
+                nodes = np.asarray(nodes, np.int64)
+                cell = cell_of(nodes, cells)
+                order = np.argsort(cell, kind="stable")
+                cell, nodes = cell[order], nodes[order]
+                bounds = np.flatnonzero(np.diff(cell)) + 1
+                for own, part in zip(np.split(cell, bounds), np.split(nodes, bounds), strict=True):
+                    if len(own):
+                        out.append((own[0], query, floor, vec, part))
+            yield pd.DataFrame(out, columns=["cell", "query", "floor", "vec", "nodes"])
+
+    return reached.mapInPandas(dealt, ASKED)
+
+
+def scored(asked: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(query, nodes, near) of the asked nodes that reach the floor. A cell's vectors meet
+    all that ask for them: vectors travel once a round, queries once a cell."""
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, ids, held, place, table = None, [], [], None, None
+        for batch in batches:
+            out = []
+            for cell, query, floor, vec, nodes in batch.itertuples(index=False):
+                if cell != at:
+                    at, ids, held, table = cell, [], [], None
+                if pd.isna(query):
+                    ids.append(nodes[0])
+                    held.append(vec)
+                    continue
+                if table is None:
+                    place = np.argsort(ids)
+                    ids, table = np.array(ids, np.int64)[place], matrix(pd.Series(held))[place]
+                near = table[np.searchsorted(ids, nodes)] @ np.frombuffer(vec, np.float32).astype(np.float64)
+                good = near >= floor
+                if good.any():
+                    out.append((int(query), nodes[good], near[good]))
+            yield pd.DataFrame(out, columns=["query", "nodes", "near"])
 
+    rows = vectors.union(asked).repartition("cell").sortWithinPartitions("cell", F.col("query").asc_nulls_first())
+    return rows.mapInPandas(score, SCORES)
 
-POOLS = "group long, query long, node long, near double, expanded boolean, chosen boolean"
 
+def advanced(pool: DataFrame, scores: DataFrame) -> DataFrame:
+    """The pools after new nodes are scored; written."""
+    new = scores.groupBy("query").agg(F.collect_list(F.struct("nodes", "near")).alias("new"))
+    new = new.select("query", F.flatten("new.nodes").alias("new_nodes"), F.flatten("new.near").alias("new_near"))
 
-def advanced(key: tuple, rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-    """The pools of a group after new nodes, the rows with a vector, are scored.
+    def advance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for nodes, near, expanded, more, its in zip(
+                batch["nodes"], batch["near"], batch["expanded"], batch["new_nodes"], batch["new_near"], strict=True
+            ):
+                if more is not None:
+                    nodes, near = np.append(nodes, more), np.append(near, its)
+                    expanded = np.append(expanded, np.zeros(len(more), bool))
+                out.append(pooled(np.array(nodes, np.int64), np.array(near), np.array(expanded, bool), EXPANDED))
+            found = pd.DataFrame(out, columns=["nodes", "near", "expanded", "chosen"])
+            yield pd.concat([batch[["query", "vec"]].reset_index(drop=True), found], axis=1)
 
-    ``chosen`` are the nodes to expand next; what one query expands counts for all.
-    """
-    own = own.sort_values("query", ignore_index=True)
-    fresh = rows["vec"].notna()
-    new, old = rows[fresh], rows[~fresh]
-    queries = matrix(own["vec"])
-    ids = new["node"].to_numpy(np.int64)
-    vectors = matrix(new["vec"]).reshape(len(ids), queries.shape[1])
-    pools = {q: part for q, part in old.groupby("query")}
-    found = []
-    for q, vector in zip(own["query"], queries, strict=True):
-        near, node, done = vectors @ vector, ids, np.zeros(len(ids), bool)
-        if len(near) > POOL:
-            # All that ties with the last one stays, the order below decides.
-            kept = near >= np.partition(near, len(near) - POOL)[len(near) - POOL]
-            near, node, done = near[kept], node[kept], done[kept]
-        if q in pools:
-            pool = pools[q]
-            near = np.append(pool["near"].to_numpy(np.float64), near)
-            node = np.append(pool["node"].to_numpy(np.int64), node)
-            done = np.append(pool["expanded"].to_numpy(bool), done)
-        best_first = np.lexsort((node, -near))[:POOL]
-        found.append(pd.DataFrame({"query": q, "node": node[best_first], "near": near[best_first], "expanded": done[best_first]}))
-    expanded = np.unique(np.concatenate([f["node"].to_numpy()[f["expanded"].to_numpy(bool)] for f in found]))
-    chosen = []
-    for f in found:
-        f["expanded"] = f["expanded"].to_numpy(bool) | np.isin(f["node"].to_numpy(), expanded)
-        chosen.append(f["node"].to_numpy()[~f["expanded"].to_numpy(bool)][:EXPANDED])
-    chosen = np.unique(np.concatenate(chosen))
-    out = pd.concat(found, ignore_index=True)
-    out["chosen"] = np.isin(out["node"].to_numpy(), chosen)
-    out["expanded"] |= out["chosen"]
-    return out.assign(group=key[0])[["group", "query", "node", "near", "expanded", "chosen"]]
+    rows = pool.drop("chosen").join(new.hint("merge"), "query", "left")
+    return written(rows.mapInPandas(advance, POOLS), "pool", "none")
 
 
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query, node) pools of (query, home, vec): the best nodes found from ``home`` and
-    from drawn and long vectors. A pool has at most ``POOL`` nodes."""
+    """(query, node) of (query, home, vec): the best nodes found by each query's search."""
     backward = best(
         graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "near")
     )
-    links = written(graph.select("node", "other").union(backward.select("node", "other")).distinct(), "adjacent")
-    vectors = nodes.select("node", "vec")
-    asked = grouped(nodes, queries)
-    drawn = nodes.select("node").orderBy(F.xxhash64("node", F.lit("start")), "node").limit(DRAWN)
-    longest = nodes.orderBy(F.desc("length"), "node").select("node").limit(LONGEST)
-    starts = written(drawn.union(longest).distinct(), "starts")
-    everywhere = asked.select("group").distinct().crossJoin(F.broadcast(starts))
-    homes = asked.select("group", F.col("home").alias("node"))
-    fresh = written(everywhere.union(homes).distinct(), "reached")
-    seen, pool = fresh, None
+    links = graph.select("node", "other").union(backward.select("node", "other"))
+    links = written(links.groupBy("node").agg(F.collect_set("other").alias("others")), "adjacent")
+    cells = nodes.count() // CELL + 1
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids = batch["node"].to_numpy(np.int64)
+            yield pd.DataFrame({"cell": cell_of(ids, cells), "query": None, "floor": 0.0, "vec": batch["vec"], "nodes": [[i] for i in ids]})
+
+    vectors = written(nodes.select("node", "vec").mapInPandas(placed, ASKED), "cells", "none")
+    pool = first_pools(nodes, queries)
     for _ in range(SEARCHES):
-        nothing = (F.lit(None).cast(t).alias(n) for n, t in (("query", "long"), ("near", "double"), ("expanded", "boolean")))
-        rows = fresh.join(vectors.hint("merge"), "node").select("group", "node", *nothing, "vec")
-        if pool is not None:
-            rows = rows.union(pool.select("group", "node", "query", "near", "expanded", F.lit(None).cast("binary")))
-        together = rows.groupBy("group").cogroup(asked.select("group", "query", "vec").groupBy("group"))
-        pool = written(together.applyInPandas(advanced, POOLS), "pool")
-        frontier = pool.filter("chosen").select("group", "node").distinct()
-        step = frontier.join(links.hint("merge"), "node").select("group", F.col("other").alias("node")).distinct()
-        fresh = written(step.join(seen.hint("merge"), ["group", "node"], "left_anti"), "reached")
-        if fresh.isEmpty() and pool.filter("not expanded").isEmpty():
+        left = pool.agg(F.count_if(F.size("chosen") > 0), F.count("*")).first()
+        if not left[0] or left[0] < CHANGED * left[1]:
             break
-        seen = seen.union(fresh)
-    order = W.partitionBy("query").orderBy(F.desc("near"), "node")
-    last = pool.withColumn("rank", F.row_number().over(order))
-    return last.filter(F.col("rank") <= SCORED).select("query", "node")
+        step = advanced(pool, scored(asked_of(pool, links, cells), vectors))
+        drop_written(pool)
+        pool = step
+    return pool.select("query", F.explode(F.slice("nodes", 1, SCORED)).alias("node"))
 
 
 def nearest(

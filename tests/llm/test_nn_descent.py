@@ -103,3 +103,28 @@ def test_recall_on_vectors_of_unlike_lengths(spark, kind):
         scores[q] = -np.inf
         hits += len(mine[q] & set(np.argsort(-scores)[: n.TOP].tolist()))
     assert hits / (n.TOP * 50) >= 0.95
+
+
+def test_a_query_scores_only_what_its_own_pool_leads_to(spark):
+    """The same vectors are asked for whether a query searches alone or with all others."""
+    rng = np.random.default_rng(9)
+    matrix = rng.normal(size=(3000, 32)).astype(np.float32)
+    matrix /= 1.001 * np.linalg.norm(matrix, axis=1).max()
+    near = np.argsort(-(matrix @ matrix.T), axis=1)[:, 1 : n.NEIGHBOURS + 1]
+    nodes = spark.createDataFrame(
+        [(i, v.tobytes(), float(np.linalg.norm(v))) for i, v in enumerate(matrix)], "node long, vec binary, length double"
+    )
+    links = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(near)], "node long, others array<long>")
+    queries = nodes.selectExpr("node as query", "node as home", "vec")
+
+    def asked(some):
+        rows = n.asked_of(n.first_pools(nodes, some), links, 3).collect()
+        out = {}
+        for r in rows:
+            assert (n.cell_of(np.array(r.nodes), 3) == r.cell).all()
+            out.setdefault(r.query, set()).update(r.nodes)
+        return out
+
+    alone, together = asked(queries.filter("query = 20")), asked(queries.filter("query % 20 = 0"))
+    assert len(together) == 150 and together[20] == alone[20]
+    assert max(map(len, together.values())) <= n.EXPANDED * n.NEIGHBOURS
