@@ -4,12 +4,12 @@ A document is a weighted set: its five-word shingles, weighted by TF-IDF. Two
 documents are linked when their weighted Jaccard similarity is 0.8 or more; classes
 are the connected components of the links.
 
-1. Exact copies are collapsed to their smallest doc_id by digest.
-2. IDF covers all documents. It is capped at that of a shingle in ``COMMON`` of them,
-   so a group of copies does not lower the weight of what its members share; only
-   shingles in more documents than that need a count. They are found exactly without
-   shuffling shingles: what is frequent in the corpus is frequent in some run of
-   documents, so runs name candidates, and a second pass counts just those.
+1. Exact copies are collapsed to their smallest doc_id by digest, so from here on each
+   distinct text counts once, also for IDF.
+2. IDF covers every shingle. Runs of texts (packets) send each of their shingles once,
+   with the number of their texts that hold it, to the bucket of its hash; a bucket adds
+   these up and answers every packet which of its shingles other texts hold too, and how
+   many do. What no answer names is held by one text.
 3. Consistent weighted samples make a signature, bands of samples make buckets.
 4. In a bucket the signatures give a maximum spanning forest and nearest partners:
    links in number linear in the bucket, never all its pairs. A bucket of more than
@@ -27,6 +27,7 @@ are the connected components of the links.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,18 +37,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rowgate.llm.components import components
-from rowgate.llm.frames import joined, read, text_of, written
+from rowgate.llm.frames import drop_written, joined, read, text_of, written
 from rowgate.llm.shingles import shingles
 
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 SAMPLES = BANDS * ROWS
-# Part of the documents above which a shingle's weight falls.
-COMMON = 0.05
-# Shingles of a run in which candidates for common ones are counted.
-RUN_SHINGLES = 1_000_000
-# Candidates kept in every task, 8 bytes each; more of them are counted by shuffle.
-MOST_CANDIDATES = 2_000_000
+# Added to the number of documents per document with a shingle: IDF flattens for what most
+# documents hold, so that a group of copies keeps some weight in what its members share.
+SMOOTH = 2.0
+# Shingles of a packet of texts, all of them candidates for being shared, at one in
+# CHARACTERS. A longer text is a packet of its own.
+MOST_CANDIDATES = 1 << 19
+CHARACTERS = 6
+# Shingles of all packets that a bucket counts, and bits of a hash that name one.
+BUCKET = 1 << 21
+LEAST_BITS = 8
 # Documents of a bucket that one task compares: BLOCK ** 2 signature comparisons.
 BLOCK = 8192
 # Part of the samples that must agree for a link to be verified: about 4 standard
@@ -66,7 +71,13 @@ DRAWN = 1 << 16
 ROUNDING = 1e-9
 
 POOL = 1 << 16
-SIGNED = "doc_id long, digest string, bands array<long>, samples binary"
+PACKETS = "packet long, node long, doc_id long, digest string, text string"
+QUESTIONS = "packet long, bucket int, keys binary, several binary"
+ANSWERS = "packet long, keys binary, held_by binary"
+SIGNED = (
+    "node long, doc_id long, digest string, bands array<long>, samples binary, "
+    "keys binary, odd binary, vals binary"
+)
 
 
 def _pool() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,17 +94,18 @@ MULTIPLIERS = np.random.Generator(np.random.PCG64(11)).integers(
 LOW, HIGH = -60.0, 40.0
 
 
-def draw(weights: np.ndarray | float, at: np.ndarray | slice) -> np.ndarray:
-    """Sortable 64-bit numbers of ICWS: 24 bits of ln(a), 32 empty, 8 of t."""
+def draw(logs: np.ndarray | float, at: np.ndarray | slice) -> np.ndarray:
+    """Sortable 64-bit numbers of ICWS, of logarithms of weights: 24 bits of ln(a), 32
+    empty, 8 of t."""
     r = R[at]
-    t = np.floor(np.log(weights) / r + BETA[at])
+    t = np.floor(logs / r + BETA[at])
     a = LOG_C[at] - r * (t - BETA[at] + 1)
     rank = np.clip((a - LOW) / (HIGH - LOW), 0, 1) * (2**24 - 1)
     low = (t.astype(np.int64) & 0xFF).astype(np.uint64)
     return (rank.astype(np.uint64) << np.uint64(40)) | low
 
 
-UNIT = draw(1.0, slice(None))
+UNIT = draw(0.0, slice(None))
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -106,13 +118,14 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     weights = np.concatenate([v for _, v in sets])
     starts = np.cumsum([0, *(len(k) for k, _ in sets[:-1])])
     other = np.flatnonzero(weights != 1.0)
+    logs = np.log(weights[other])
     names = (keys >> np.uint64(32)) << np.uint64(8)
     out = np.empty((len(sets), SAMPLES), np.uint64)
     for i, factor in enumerate(MULTIPLIERS):
         entries = (keys * factor) >> np.uint64(48)
         drawn = UNIT[entries]
         if len(other):
-            drawn[other] = draw(weights[other], entries[other])
+            drawn[other] = draw(logs, entries[other])
         drawn |= names
         out[:, i] = np.minimum.reduceat(drawn, starts)
     return out & np.uint64((1 << 40) - 1)
@@ -123,16 +136,18 @@ def signature(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def idf_of(share: np.ndarray) -> np.ndarray:
-    """1 up to ``COMMON`` of the documents, then falling with the logarithm."""
-    return np.log2(1 + 1 / np.maximum(share, COMMON)) / math.log2(1 + 1 / COMMON)
+    """The logarithm of documents per document with the shingle, smoothed; of any share."""
+    return np.log2(SMOOTH + 1 / share)
 
 
 class Weights:
-    """TF-IDF of a text's shingles, given the common ones."""
+    """TF-IDF of a text's shingles, given the shares of those that several of ``total``
+    texts hold. In units of the IDF of all others, which one text holds: theirs is 1."""
 
-    def __init__(self, keys: np.ndarray, shares: np.ndarray):
+    def __init__(self, keys: np.ndarray, shares: np.ndarray, total: int | None = None):
         order = np.argsort(keys)
         self.keys, self.idf = keys[order], idf_of(shares[order])
+        self.unit = float(idf_of(np.float64(1 / total))) if total else 1.0
 
     def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = np.unique(hashes, return_counts=True)
@@ -140,109 +155,179 @@ class Weights:
         if len(self.keys) and len(keys):
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
             found = self.keys[at] == keys
-            weights[found] *= self.idf[at[found]]
+            weights[found] *= self.idf[at[found]] / self.unit
         return keys, weights
 
 
-def common_shingles(docs: DataFrame, column: str = "text", share: float = COMMON) -> Weights:
-    """The shingles in more than ``share`` of all documents, with their exact shares.
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as differences, byte by byte, without bytes that are 0 in all."""
+    steps = np.diff(numbers, prepend=np.uint64(0))
+    width = max((int(steps.max()).bit_length() + 7) // 8, 1)
+    return steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes() + bytes([width])
 
-    Their number is at most the mean number of shingles of a document over ``share``,
-    at any size of the corpus; they go to every task.
-    """
-    texts = docs.select(F.col(f"`{column}`").alias("text"))
-    total = texts.count()
-    if not total:
-        return Weights(np.zeros(0, np.uint64), np.zeros(0))
 
-    def distinct(batch: pd.DataFrame) -> Iterator[np.ndarray]:
-        return (np.unique(h) for h in shingles(list(batch["text"])))
+def widened(data: bytes) -> np.ndarray:
+    width = data[-1]
+    columns = np.frombuffer(data, np.uint8, len(data) - 1).reshape(width, -1)
+    steps = np.zeros((columns.shape[1], 8), np.uint8)
+    steps[:, :width] = columns.T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
 
-    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def named(run: list[np.ndarray]) -> pd.DataFrame:
-            keys, counts = np.unique(np.concatenate(run), return_counts=True)
-            kept = keys[counts >= math.ceil(share * len(run))]
-            return pd.DataFrame({"key": kept.view(np.int64)})
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(packet, node, doc_id, digest, text) of the distinct texts of (doc_id, text), with the
+    smallest doc_id of each; written, so packets and nodes keep their numbers."""
+    most = MOST_CANDIDATES * CHARACTERS
 
-        full, run, size = None, [], 0
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packet, size = uuid.uuid4().int >> 65, 0
+        for batch in batches:
+            packets = []
+            for text in batch["text"]:
+                if size and size + len(text) > most:
+                    packet, size = uuid.uuid4().int >> 65, 0
+                packets.append(packet)
+                size += len(text) + 1
+            yield batch.assign(packet=packets)
+
+    named = docs.select("doc_id", F.md5(text_of()).alias("digest"), text_of().alias("text"))
+    texts = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    texts = texts.withColumn("node", F.monotonically_increasing_id())
+    columns = [x.split()[0] for x in PACKETS.split(", ")]
+    return written(texts.select(*columns[1:]).mapInPandas(deal, PACKETS).select(*columns), "packets")
+
+
+def asked(packets: DataFrame, bits: int) -> DataFrame:
+    """(packet, bucket, keys, several): the shingles of a packet's texts, by their first
+    ``bits`` bits; of those that several of these texts hold, where they are and how many."""
+    shift = np.uint64(64 - bits)
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # A packet that two batches or tasks read asks twice.
         for batch in batches:
-            for keys in distinct(batch):
-                run.append(keys)
-                size += len(keys)
-                if size >= RUN_SHINGLES:
-                    if full:
-                        yield named(full)
-                    full, run, size = run, [], 0
-        # A short last run would name rare shingles: it joins the one before.
-        if rest := [*(full or []), *run]:
-            yield named(rest)
-
-    named = written(texts.mapInPandas(candidates, "key long").distinct(), "common")
-    few = named.limit(MOST_CANDIDATES + 1).count()
-    wanted = None
-    if few <= MOST_CANDIDATES:
-        wanted = np.sort(named.toPandas()["key"].to_numpy(np.int64).view(np.uint64))
-        if not len(wanted):
-            return Weights(wanted, np.zeros(0))
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = None if wanted is None else np.zeros(len(wanted), np.int64)
+            for packet, texts in batch.groupby("packet", sort=False)["text"]:
+                held = np.concatenate([np.unique(h) for h in shingles(list(texts))])
+                if len(held):
+                    yield questions(packet, *np.unique(held, return_counts=True))
+
+    def questions(packet: int, keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        buckets = keys >> shift
+        bounds = [0, *(np.flatnonzero(np.diff(buckets)) + 1), len(keys)]
+        rows = []
+        for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+            several = np.flatnonzero(counts[i:j] > 1)
+            more = np.stack([several, counts[i:j][several]]).astype(np.uint32)
+            rest = keys[i:j] - (buckets[i] << shift)
+            rows.append((packet, int(buckets[i]), squeezed(rest), more.tobytes()))
+        return pd.DataFrame(rows, columns=["packet", "bucket", "keys", "several"])
+
+    return packets.select("packet", "text").mapInPandas(ask, QUESTIONS)
+
+
+def answered(questions: DataFrame, bits: int) -> DataFrame:
+    """(packet, keys, held_by) of the questions' shingles that several texts hold, with the
+    number of all texts that hold them; written."""
+    shift = np.uint64(64 - bits)
+
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
         for batch in batches:
-            for keys in distinct(batch):
-                if sums is None:
-                    yield pd.DataFrame({"key": keys.view(np.int64), "held_by": 1})
-                elif len(keys):
-                    at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-                    sums[at[wanted[at] == keys]] += 1
-        if sums is not None:
-            yield pd.DataFrame({"key": wanted.view(np.int64), "held_by": sums})
-
-    counts = texts.mapInPandas(counted, "key long, held_by long").groupBy("key")
-    found = counts.agg(F.sum("held_by").alias("held_by")).filter(F.col("held_by") > share * total)
-    found = found.toPandas()
-    keys = found["key"].to_numpy(np.int64).view(np.uint64)
-    return Weights(keys, found["held_by"].to_numpy(np.float64) / total)
-
-
-def signed(docs: DataFrame, weigh: Weights) -> DataFrame:
-    """(doc_id, digest, bands, samples); no bands for a text without words."""
-
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            bounds = [0, *(np.flatnonzero(np.diff(rest["bucket"].to_numpy())) + 1)]
+            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+                yield told(rest.iloc[i:j])
+            rest = rest.iloc[bounds[-1] :]
+        if rest is not None and len(rest):
+            yield told(rest)
+
+    def told(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [widened(x) for x in rows["keys"]]
+        bounds = np.cumsum([0, *map(len, parts)])
+        keys, counts = np.concatenate(parts), np.ones(bounds[-1], np.int64)
+        for i, more in zip(bounds, rows["several"]):
+            places, held = np.frombuffer(more, np.uint32).reshape(2, -1)
+            counts[i + places] = held
+        # Each part is in order already, which makes merging them cheap.
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        held_by = np.add.reduceat(counts[order], starts)
+        counts[order] = np.repeat(held_by, np.diff(np.append(starts, len(keys))))
+        first = np.uint64(rows["bucket"].iloc[0]) << shift
+        out = []
+        for packet, i, j in zip(rows["packet"], bounds[:-1], bounds[1:], strict=True):
+            shared = np.flatnonzero(counts[i:j] > 1) + i
+            if len(shared):
+                out.append((packet, squeezed(keys[shared] + first), counts[shared].astype(np.uint32).tobytes()))
+        return pd.DataFrame(out, columns=["packet", "keys", "held_by"])
+
+    dealt = questions.repartition("bucket").sortWithinPartitions("bucket")
+    return written(dealt.mapInPandas(answer, ANSWERS), "answers")
+
+
+def shared_shingles(packets: DataFrame) -> tuple[DataFrame, int]:
+    """The answers to all packets, and the number of texts."""
+    total, size = packets.agg(F.count("*"), F.sum(F.length("text"))).first()
+    bits = max(math.ceil(math.log2((size or 0) / CHARACTERS / BUCKET + 1)), LEAST_BITS)
+    return answered(asked(packets, bits), bits), total
+
+
+def weights_of(answers: pd.DataFrame, total: int) -> Weights:
+    """The weights that answers to a packet give."""
+    if not len(answers):
+        return Weights(np.zeros(0, np.uint64), np.zeros(0), total)
+    keys = np.concatenate([widened(x) for x in answers["keys"]])
+    held_by = np.concatenate([np.frombuffer(x, np.uint32) for x in answers["held_by"]])
+    keys, at = np.unique(keys, return_index=True)
+    return Weights(keys, held_by[at] / total, total)
+
+
+def common_shingles(docs: DataFrame, column: str = "text") -> Weights:
+    """The weights of all shingles of a small table: those that several distinct texts hold
+    are collected, with their exact shares. ``near_duplicates`` never collects them."""
+    named = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col(f"`{column}`").alias("text"))
+    answers, total = shared_shingles(distinct_texts(named))
+    return weights_of(answers.toPandas(), total)
+
+
+def signed(packets: DataFrame, answers: DataFrame, total: int) -> DataFrame:
+    """(node, doc_id, digest, bands, samples, keys, odd, vals), the last three the text's
+    weighted set; no bands for a text without words; written."""
+
+    def drawn(run: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, bytes]]:
         bands = np.random.Generator(np.random.PCG64(12)).integers(
             1, 2**63, (BANDS, ROWS), dtype=np.uint64
         ) | np.uint64(1)
-        def drawn(run: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, bytes]]:
-            rows = signatures(run)
-            keys = (rows.reshape(-1, BANDS, ROWS) * bands).sum(axis=2)
-            keys = (keys ^ (keys >> np.uint64(29))).view(np.int64)
-            kept = (rows * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.uint8)
-            return zip(keys, map(bytes, kept), strict=True)
-
-        for batch in batches:
-            found: list[tuple[np.ndarray, bytes]] = []
-            run, size, worded = [], 0, []
-            for hashes in shingles(list(batch["text"])):
-                worded.append(len(hashes) > 0)
-                if len(hashes):
-                    run.append(weigh(hashes))
-                    size += len(run[-1][0])
-                if size >= DRAWN:
-                    found += drawn(run)
-                    run, size = [], 0
-            if run:
+        rows = signatures(run)
+        keys = (rows.reshape(-1, BANDS, ROWS) * bands).sum(axis=2)
+        keys = (keys ^ (keys >> np.uint64(29))).view(np.int64)
+        kept = (rows * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.uint8)
+        return zip(keys, map(bytes, kept), strict=True)
+
+    def sign(texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        weigh = weights_of(told, total)
+        found: list[tuple[np.ndarray, bytes]] = []
+        sets, run, size, worded = [], [], 0, []
+        for hashes in shingles(list(texts["text"])):
+            own = weigh(hashes)
+            sets.append(packed(*own))
+            worded.append(len(hashes) > 0)
+            if len(hashes):
+                run.append(own)
+                size += len(own[0])
+            if size >= DRAWN:
                 found += drawn(run)
-            rows = iter(found)
-            signed = [next(rows) if has else (None, None) for has in worded]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "digest": batch["digest"],
-                    "bands": [x for x, _ in signed],
-                    "samples": [x for _, x in signed],
-                }
-            )
+                run, size = [], 0
+        if run:
+            found += drawn(run)
+        rows = iter(found)
+        marks = [next(rows) if has else (None, None) for has in worded]
+        out = texts[["node", "doc_id", "digest"]].reset_index(drop=True)
+        out["bands"], out["samples"] = [x for x, _ in marks], [x for _, x in marks]
+        return out.join(pd.DataFrame(sets, columns=["keys", "odd", "vals"]))
 
-    return docs.select("doc_id", F.md5(text_of()).alias("digest"), "text").mapInPandas(sign, SIGNED)
+    both = packets.groupBy("packet").cogroup(answers.groupBy("packet"))
+    return written(both.applyInPandas(sign, SIGNED), "signed")
 
 
 def forest(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -412,19 +497,10 @@ def connecting(
     return np.array(a, int), np.array(b, int)
 
 
-def sets_of(docs: DataFrame, named: DataFrame, weigh: Weights) -> DataFrame:
-    """(node, keys, odd, vals) of the texts of (node, doc_id, digest); written. A node has
-    a row for every row of its document."""
-
-    def vectorised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [packed(*weigh(h)) for h in shingles(list(batch["text"]))]
-            yield pd.DataFrame(rows, columns=["keys", "odd", "vals"]).assign(node=batch["node"])
-
+def sets_of(nodes: DataFrame, named: DataFrame) -> DataFrame:
+    """(node, keys, odd, vals) of the nodes that are named; written."""
     # The list grows with the corpus, so it is joined by shuffle at every size.
-    sets = docs.select("doc_id", "text").join(named.hint("merge"), "doc_id")
-    sets = sets.filter(F.md5(text_of()) == F.col("digest")).select("node", "text")
-    sets = sets.mapInPandas(vectorised, "keys binary, odd binary, vals binary, node long")
+    sets = nodes.select("node", "keys", "odd", "vals").join(named.hint("merge"), "node")
     return written(sets, "sets", "none")
 
 
@@ -462,7 +538,7 @@ def open_links(
     mixed = F.min("root").over(W.partitionBy("block")) != F.max("root").over(W.partitionBy("block"))
     large = blocks.distinct().join(large.hint("merge"), "node").withColumn("mixed", mixed)
     rows = small.unionByName(large.filter("mixed").select("node", "root", "block"))
-    rows = rows.join(nodes.select("node", "samples").hint("merge"), "node").join(sets.dropDuplicates(["node"]), "node")
+    rows = rows.join(nodes.select("node", "samples").hint("merge"), "node").join(sets, "node")
 
     def connect(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         own = [unpacked(*x) for x in zip(rows["keys"], rows["odd"], rows["vals"], strict=True)]
@@ -471,13 +547,12 @@ def open_links(
     return in_blocks(rows, connect, "open")
 
 
-def verified_links(docs: DataFrame, nodes: DataFrame, weigh: Weights, least: float) -> DataFrame:
-    """(a, b) of verified links that connect all classes of (node, doc_id, digest, bands, samples)."""
+def verified_links(nodes: DataFrame, least: float) -> DataFrame:
+    """(a, b) of verified links that connect all classes of ``signed`` texts with words."""
     blocks = bucket_blocks(nodes)
     tried = candidate_links(blocks, nodes)
     named = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
-    named = nodes.select("node", "doc_id", "digest").join(named.hint("merge"), "node")
-    sets = sets_of(docs, named, weigh)
+    sets = sets_of(nodes, named)
     held = verified(sets, tried, least)
     return held.unionByName(open_links(blocks, nodes, tried, components(held), sets, least))
 
@@ -493,14 +568,13 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = named.filter("doc_id is not null")
-    weigh = common_shingles(known)
-    rows = written(signed(known, weigh), "signed")
-    texts = rows.groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("samples").alias("samples")
-    )
-    # Written once, so every text keeps its number.
-    nodes = written(texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    links = verified_links(known, nodes.filter("bands is not null"), weigh, least)
+    rows = written(known.select("doc_id", F.md5(text_of()).alias("digest")), "rows")
+    packets = distinct_texts(known)
+    answers, total = shared_shingles(packets)
+    nodes = signed(packets, answers, total)
+    # The sets are complete; nothing reads the texts again.
+    drop_written(packets, answers)
+    links = verified_links(nodes.filter("bands is not null"), least)
     # Different texts of one doc_id.
     several = rows.groupBy("doc_id").agg(F.min("digest").alias("digest"), F.max("digest").alias("last"))
     several = several.filter("digest <> last").select("doc_id")

@@ -177,3 +177,67 @@ def test_components(spark):
     found = {r.node: r.root for r in components(frame).collect()}
     assert found == {**{i: 0 for i in range(41)}, 80: 80, 90: 80, 100: 80}
     assert components(frame.limit(0)).collect() == []
+
+
+def counted(texts):
+    """How many distinct texts hold each shingle."""
+    held = {}
+    for hashes in shingles(sorted(set(texts))):
+        for key in set(hashes.tolist()):
+            held[key] = held.get(key, 0) + 1
+    return held
+
+
+@pytest.mark.parametrize("most", [0, 300, w.MOST_CANDIDATES])
+def test_idf_covers_rare_shingles_and_counts_exact_copies_once(docs, monkeypatch, most):
+    monkeypatch.setattr(w, "MOST_CANDIDATES", most)
+    rng = random.Random(21)
+    parts = [text(rng, 12) for _ in range(4)]
+    # Shingles in one, two, three and five of 200 texts: all of them in under 5 %.
+    rows = [(i, text(rng, 30)) for i in range(200)]
+    for part, count in zip(parts, (1, 2, 3, 5), strict=True):
+        for i in rng.sample(range(200), count):
+            rows[i] = (i, f"{rows[i][1]} {part}")
+    held = counted(t for _, t in rows)
+    rows += [(1000 + i, rows[0][1]) for i in range(50)] + [(2000, None), (2001, "")]
+    weigh = w.common_shingles(docs(rows))
+    assert dict(zip(weigh.keys.tolist(), weigh.idf.tolist(), strict=True)) == pytest.approx(
+        {key: float(w.idf_of(np.float64(n / 201))) for key, n in held.items() if n > 1}
+    )
+    found = [set(weigh(h)[1].tolist()) for h in shingles(parts)]
+    assert found[0] == {1.0}
+    assert 1 > max(found[1]) > max(found[2]) > max(found[3]) > 0.5
+    for hashes in shingles([rows[7][1], f"{parts[1]} {parts[1]}"]):
+        keys, weights = weigh(hashes)
+        counts = [hashes.tolist().count(k) for k in keys.tolist()]
+        idf = [np.log2(w.SMOOTH + 201 / held.get(k, 1)) / np.log2(w.SMOOTH + 201) for k in keys.tolist()]
+        assert weights == pytest.approx(np.multiply(counts, idf))
+
+
+@pytest.mark.parametrize("most", [40, w.MOST_CANDIDATES])
+def test_what_a_few_texts_share_links_less_than_what_only_two_share(docs, monkeypatch, most):
+    """Both pairs have 0.81 of their shingles in common; one pair's are in 20 of 500 texts."""
+    monkeypatch.setattr(w, "MOST_CANDIDATES", most)
+    rng = random.Random(22)
+    rows = [(i, text(rng, 10)) for i in range(479)]
+    often, seldom = text(rng, 52), text(rng, 56)
+    rows += [(600 + i, f"{often} {text(rng, 6)}") for i in range(2)]
+    rows += [(700 + i, f"{often} {text(rng, 90)}") for i in range(18)]
+    rows += [(800 + i, f"{seldom} {text(rng, 4)}") for i in range(2)]
+    sets = dict(zip([k for k, _ in rows], shingles([t for _, t in rows]), strict=True))
+    counts = w.Weights(np.zeros(0, np.uint64), np.zeros(0))
+    for a, b in ((600, 601), (800, 801)):
+        assert w.weighted_jaccard(counts(sets[a]), counts(sets[b])) >= w.SIMILARITY
+    weigh = w.common_shingles(docs(rows))
+    found = {r.doc_id: r.class_id for r in w.near_duplicates(docs(rows)).collect()}
+    assert found == brute(rows, weigh)
+    assert found[601] == 601 and found[801] == 800
+
+
+def test_squeezed_numbers_come_back():
+    rng = np.random.default_rng(4)
+    for top in (1, 2**8, 2**30, 2**56, 2**63):
+        numbers = np.unique(rng.integers(0, top, 1000, dtype=np.uint64))
+        assert w.widened(w.squeezed(numbers)).tolist() == numbers.tolist()
+    ends = np.array([0, 2**64 - 1], np.uint64)
+    assert w.widened(w.squeezed(ends)).tolist() == ends.tolist()
