@@ -6,7 +6,8 @@ import functools
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,15 +65,30 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/rowgate-llm/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written meanwhile go when it is; else they stay until the
+    driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """``df`` as a table in the shared folder: computed once, lineage cut.
 
     Only committed task attempts are part of the table, so a lost executor costs
-    the tasks it was running and nothing that is already written.
+    the tasks it was running and nothing that is already written. The shuffle files
+    behind the table are deleted with the end of the writing.
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.option("compression", codec).parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.option("compression", codec).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._written_at = path
     return table

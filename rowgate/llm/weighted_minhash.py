@@ -150,13 +150,29 @@ class Weights:
         self.unit = float(idf_of(np.float64(1 / total))) if total else 1.0
 
     def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.weighed(hashes)[:2]
+
+    def weighed(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The shingles, their weights, and which of them several texts hold."""
         keys, counts = np.unique(hashes, return_counts=True)
         weights = counts.astype(np.float64)
+        found = np.zeros(len(keys), bool)
         if len(self.keys) and len(keys):
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
             found = self.keys[at] == keys
             weights[found] *= self.idf[at[found]] / self.unit
+        return keys, weights, found
+
+
+def condensed(keys: np.ndarray, weights: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The set with one of the shingles that no other text holds in place of them all, with
+    the weight of all: its total and what it shares with any other set stay the same."""
+    alone = np.flatnonzero(~found)
+    if len(alone) < 2:
         return keys, weights
+    weights, kept = weights.copy(), found.copy()
+    weights[alone[0]], kept[alone[0]] = weights[alone].sum(), True
+    return keys[kept], weights[kept]
 
 
 def squeezed(numbers: np.ndarray) -> bytes:
@@ -292,7 +308,7 @@ def common_shingles(docs: DataFrame, column: str = "text") -> Weights:
 
 def signed(packets: DataFrame, answers: DataFrame, total: int) -> DataFrame:
     """(node, doc_id, digest, bands, samples, keys, odd, vals), the last three the text's
-    weighted set; no bands for a text without words; written."""
+    condensed weighted set; no bands for a text without words; written."""
 
     def drawn(run: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, bytes]]:
         bands = np.random.Generator(np.random.PCG64(12)).integers(
@@ -309,11 +325,11 @@ def signed(packets: DataFrame, answers: DataFrame, total: int) -> DataFrame:
         found: list[tuple[np.ndarray, bytes]] = []
         sets, run, size, worded = [], [], 0, []
         for hashes in shingles(list(texts["text"])):
-            own = weigh(hashes)
-            sets.append(packed(*own))
+            own = weigh.weighed(hashes)
+            sets.append(packed(*condensed(*own)))
             worded.append(len(hashes) > 0)
             if len(hashes):
-                run.append(own)
+                run.append(own[:2])
                 size += len(own[0])
             if size >= DRAWN:
                 found += drawn(run)
@@ -554,7 +570,10 @@ def verified_links(nodes: DataFrame, least: float) -> DataFrame:
     named = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
     sets = sets_of(nodes, named)
     held = verified(sets, tried, least)
-    return held.unionByName(open_links(blocks, nodes, tried, components(held), sets, least))
+    links = held.unionByName(open_links(blocks, nodes, tried, components(held), sets, least))
+    # The links are complete; nothing reads what they were found by again.
+    drop_written(blocks, tried, sets)
+    return links
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -588,6 +607,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     texts = texts.withColumn("root", F.coalesce("root", "node"))
     classes = texts.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     classes = written(texts.join(classes, "root").select("digest", "class_id"), "classes")
+    drop_written(nodes)
     done = rows.select("doc_id", "digest").join(classes, "digest")
     lost = named.filter("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("class_id"))
     return done.select("doc_id", "class_id").unionByName(lost)

@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ import pytest
 from rowgate.llm import weighted_minhash as w
 from rowgate.llm.components import components
 from rowgate.llm.shingles import shingles
+from rowgate.session import checkpoint_root
 
 WORDS = [f"{a}{b}" for a in "abcdefghij" for b in ("ra", "lo", "mi", "nu", "tes", "vo", "ki", "sa")]
 
@@ -241,3 +243,33 @@ def test_squeezed_numbers_come_back():
         assert w.widened(w.squeezed(numbers)).tolist() == numbers.tolist()
     ends = np.array([0, 2**64 - 1], np.uint64)
     assert w.widened(w.squeezed(ends)).tolist() == ends.tolist()
+
+
+def test_condensed_sets_have_the_same_similarities_in_less_room(docs):
+    rng = random.Random(23)
+    base = [text(rng, 120) for _ in range(6)]
+    rows = [(i, changed(b, k, rng)) for k in range(4) for i, b in enumerate(base, 10 * k)]
+    rows += [(90, "one two"), (91, "one"), (92, ""), (93, f"{base[0]} {base[0]}")]
+    weigh = w.common_shingles(docs(rows))
+    whole = [weigh(h) for h in shingles([t for _, t in rows])]
+    short = [w.condensed(*weigh.weighed(h)) for h in shingles([t for _, t in rows])]
+    for a, b in zip(whole, short, strict=True):
+        alone = ~np.isin(a[0], weigh.keys)
+        assert len(b[0]) == (~alone).sum() + min(alone.sum(), 1) and set(b[0].tolist()) <= set(a[0].tolist())
+    for i in range(len(rows)):
+        for j in range(len(rows)):
+            assert w.weighted_jaccard(short[i], short[j]) == pytest.approx(w.weighted_jaccard(whole[i], whole[j]))
+    many = weigh.weighed(next(shingles([text(rng, 300)])))
+    assert w.condensed(*many)[1].tolist() == [296.0]
+
+
+def test_large_tables_are_deleted_once_the_classes_are_known(spark, docs):
+    rng = random.Random(24)
+    base = text(rng, 400)
+    rows = [(i, changed(base, 1, rng)) for i in range(6)] + [(10, text(rng, 80))]
+    folder = Path(checkpoint_root(spark).removeprefix("file://")) / "rowgate-llm"
+    before = set(folder.glob("*"))
+    found = w.near_duplicates(docs(rows))
+    left = {p.name.split("-")[0] for p in set(folder.glob("*")) - before}
+    assert not left & {"packets", "answers", "signed", "blocks", "candidates", "sets"}
+    assert {r.doc_id: r.class_id for r in found.collect()} == {**dict.fromkeys(range(6), 0), 10: 10}
