@@ -9,7 +9,10 @@ are the connected components of the links.
 2. IDF covers every shingle. Runs of texts (packets) send each of their shingles once,
    with the number of their texts that hold it, to the bucket of its hash; a bucket adds
    these up and answers every packet which of its shingles other texts hold too, and how
-   many do. What no answer names is held by one text.
+   many do. What no answer names is held by one text. What near copies hold in common is
+   not common for that: texts connected by equal bands of plain MinHash sketches are a
+   group, and a group counts once for each shingle it holds. Only a group that makes up a
+   large part of all texts counts for more (``together``).
 3. Consistent weighted samples make a signature, bands of samples make buckets.
 4. In a bucket the signatures give a maximum spanning forest and nearest partners:
    links in number linear in the bucket, never all its pairs. A bucket of more than
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 from rowgate.llm.components import components
 from rowgate.llm.frames import drop_written, joined, read, text_of, written
-from rowgate.llm.shingles import shingles
+from rowgate.llm.shingles import mixed, shingles
 
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
@@ -58,6 +61,14 @@ BLOCK = 8192
 # Part of the samples that must agree for a link to be verified: about 4 standard
 # deviations below SIMILARITY.
 LEAST_AGREEMENT = 0.62
+# Bands of the sketches that tell which texts count once, and samples of a band: two texts
+# share one of them with probability 0.998 at a Jaccard similarity of 0.8, 0.54 at 0.5, 0.02
+# at 0.2. Copies that are too far apart to be linked count once too, so these are loose.
+COPY_BANDS, COPY_ROWS = 12, 4
+# Texts of a group whose shingles one task counts; of more texts it is parts.
+WHOLE = 512
+# Shingles whose counts such a task collects before it sends them on.
+COLLECTED = 1 << 20
 # Texts connected by candidates whose sets go to one task.
 TOGETHER = 2048
 # Rows of agreements that such a task holds at a time.
@@ -73,7 +84,10 @@ ROUNDING = 1e-9
 POOL = 1 << 16
 PACKETS = "packet long, node long, doc_id long, digest string, text string"
 QUESTIONS = "packet long, bucket int, keys binary, several binary"
-ANSWERS = "packet long, keys binary, held_by binary"
+ANSWERS = "packet long, bucket int, keys binary, held_by binary"
+COPIES = "bucket int, root long, once double, keys binary, less binary"
+# Buckets below 0 carry sketches instead of questions, dealt over so many.
+SKETCH_BUCKETS = 1 << 16
 SIGNED = (
     "node long, doc_id long, digest string, bands array<long>, samples binary, "
     "keys binary, odd binary, vals binary"
@@ -81,15 +95,22 @@ SIGNED = (
 
 
 def _pool() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gamma(2, 1), the logarithm of another, and uniform numbers."""
+    """Gamma(2, 1), the logarithm of another, and uniform numbers, in the order of what
+    they give a weight of 1."""
     u = np.random.Generator(np.random.PCG64(10)).random((5, POOL)) * (1 - 2e-16) + 1e-16
-    return -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
+    r, log_c, beta = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
+    order = np.argsort(log_c - r * (1 - beta), kind="stable")
+    return r[order], log_c[order], beta[order]
 
 
 R, LOG_C, BETA = _pool()
 MULTIPLIERS = np.random.Generator(np.random.PCG64(11)).integers(
     1, 2**63, SAMPLES, dtype=np.uint64
 ) * np.uint64(2) + np.uint64(1)
+INVERSES = np.array([pow(int(x), -1, 1 << 64) for x in MULTIPLIERS], np.uint64)
+SKETCHERS = np.random.Generator(np.random.PCG64(13)).integers(
+    1, 2**63, COPY_BANDS * COPY_ROWS, dtype=np.uint64
+) * np.uint64(2) + np.uint64(1)
 # Range of ln(a) over all pool entries and weights from 1e-6 to 1e12.
 LOW, HIGH = -60.0, 40.0
 
@@ -106,29 +127,53 @@ def draw(logs: np.ndarray | float, at: np.ndarray | slice) -> np.ndarray:
 
 
 UNIT = draw(0.0, slice(None))
+NONE = np.uint64(2**64 - 1)
+HIGH_BITS, LOW_BITS = np.uint64((2**24 - 1) << 40), np.uint64(2**48 - 1)
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """A row per set without an empty one: a sample (shingle, t) per hash function, 40 bits.
 
     A sample's random numbers come from a pool entry that shingle and hash function
-    choose, so weight 1, by far the most frequent, needs one look-up.
+    choose. The pool is in the order of what weight 1, by far the most frequent, gives:
+    of these shingles the one with the least product wins, and a lower weight whose entry
+    comes behind it cannot win either.
     """
     keys = np.concatenate([k for k, _ in sets])
     weights = np.concatenate([v for _, v in sets])
     starts = np.cumsum([0, *(len(k) for k, _ in sets[:-1])])
     other = np.flatnonzero(weights != 1.0)
     logs = np.log(weights[other])
-    names = (keys >> np.uint64(32)) << np.uint64(8)
+    heavy = logs > 0
+    owners = np.searchsorted(starts, other, "right") - 1
     out = np.empty((len(sets), SAMPLES), np.uint64)
-    for i, factor in enumerate(MULTIPLIERS):
-        entries = (keys * factor) >> np.uint64(48)
-        drawn = UNIT[entries]
-        if len(other):
-            drawn[other] = draw(logs, entries[other])
-        drawn |= names
-        out[:, i] = np.minimum.reduceat(drawn, starts)
-    return out & np.uint64((1 << 40) - 1)
+    for i, (factor, inverse) in enumerate(zip(MULTIPLIERS, INVERSES, strict=True)):
+        products = keys * factor
+        rest = products[other]
+        products[other] = NONE
+        least = np.minimum.reduceat(products, starts)
+        out[:, i] = (least * inverse) >> np.uint64(32) << np.uint64(8)
+        near = np.flatnonzero(heavy | (rest >> np.uint64(48) <= least[owners] >> np.uint64(48)))
+        if not len(near):
+            continue
+        own, rest = owners[near], rest[near]
+        drawn = draw(logs[near], rest >> np.uint64(48))
+        ranks = in_order(drawn, rest)
+        runs = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        best = np.minimum.reduceat(ranks, runs)
+        before = in_order(UNIT[least >> np.uint64(48)], least)[own[runs]]
+        won = np.flatnonzero((best < before) | (least[own[runs]] == NONE))
+        lengths = np.diff(np.append(runs, len(own)))
+        hits = np.flatnonzero(ranks == np.repeat(best, lengths))
+        at = hits[np.searchsorted(hits, runs[won])]
+        names = (rest[at] * inverse) >> np.uint64(32) << np.uint64(8)
+        out[own[runs[won]], i] = names | (drawn[at] & np.uint64(0xFF))
+    return out
+
+
+def in_order(drawn: np.ndarray, products: np.ndarray) -> np.ndarray:
+    """What is drawn, equal values in the order of the products."""
+    return (drawn & HIGH_BITS) | (products & LOW_BITS) >> np.uint64(8)
 
 
 def signature(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -215,16 +260,24 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 def asked(packets: DataFrame, bits: int) -> DataFrame:
     """(packet, bucket, keys, several): the shingles of a packet's texts, by their first
-    ``bits`` bits; of those that several of these texts hold, where they are and how many."""
+    ``bits`` bits; of those that several of these texts hold, where they are and how many.
+    With them, in buckets below 0, the nodes of the texts with words and their sketches."""
     shift = np.uint64(64 - bits)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # A packet that two batches or tasks read asks twice.
         for batch in batches:
-            for packet, texts in batch.groupby("packet", sort=False)["text"]:
-                held = np.concatenate([np.unique(h) for h in shingles(list(texts))])
-                if len(held):
+            for packet, texts in batch.groupby("packet", sort=False):
+                sets = [np.unique(h) for h in shingles(list(texts["text"]))]
+                worded = [len(s) > 0 for s in sets]
+                if any(worded):
+                    sets = [s for s in sets if len(s)]
+                    held = np.concatenate(sets)
                     yield questions(packet, *np.unique(held, return_counts=True))
+                    nodes = texts["node"].to_numpy(np.int64)[worded]
+                    place = -1 - int(nodes[0]) % SKETCH_BUCKETS
+                    row = (packet, place, nodes.tobytes(), sketches(sets).tobytes())
+                    yield pd.DataFrame([row], columns=["packet", "bucket", "keys", "several"])
 
     def questions(packet: int, keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
         buckets = keys >> shift
@@ -237,12 +290,28 @@ def asked(packets: DataFrame, bits: int) -> DataFrame:
             rows.append((packet, int(buckets[i]), squeezed(rest), more.tobytes()))
         return pd.DataFrame(rows, columns=["packet", "bucket", "keys", "several"])
 
-    return packets.select("packet", "text").mapInPandas(ask, QUESTIONS)
+    return packets.select("packet", "node", "text").mapInPandas(ask, QUESTIONS)
+
+
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """The keys of the bands of plain MinHash of every set, none of them empty."""
+    out = np.empty((len(sets), len(SKETCHERS)), np.uint64)
+    bounds = np.cumsum([0, *map(len, sets)])
+    begin = 0
+    while begin < len(sets):
+        end = max(int(np.searchsorted(bounds, bounds[begin] + DRAWN, "right")) - 1, begin + 1)
+        keys, starts = np.concatenate(sets[begin:end]), bounds[begin:end] - bounds[begin]
+        for i, factor in enumerate(SKETCHERS):
+            out[begin:end, i] = np.minimum.reduceat(keys * factor, starts)
+        begin = end
+    bands = (out * SKETCHERS[::-1]).reshape(-1, COPY_BANDS, COPY_ROWS).sum(axis=2)
+    places = np.arange(COPY_BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed(bands + places).view(np.int64)
 
 
 def answered(questions: DataFrame, bits: int) -> DataFrame:
-    """(packet, keys, held_by) of the questions' shingles that several texts hold, with the
-    number of all texts that hold them; written."""
+    """(packet, bucket, keys, held_by) of the questions' shingles that several texts hold,
+    with the number of all texts that hold them, and the sketches as they came; written."""
     shift = np.uint64(64 - bits)
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,6 +326,9 @@ def answered(questions: DataFrame, bits: int) -> DataFrame:
             yield told(rest)
 
     def told(rows: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(rows["bucket"].iloc[0])
+        if bucket < 0:
+            return rows.rename(columns={"several": "held_by"})
         parts = [widened(x) for x in rows["keys"]]
         bounds = np.cumsum([0, *map(len, parts)])
         keys, counts = np.concatenate(parts), np.ones(bounds[-1], np.int64)
@@ -269,23 +341,146 @@ def answered(questions: DataFrame, bits: int) -> DataFrame:
         starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
         held_by = np.add.reduceat(counts[order], starts)
         counts[order] = np.repeat(held_by, np.diff(np.append(starts, len(keys))))
-        first = np.uint64(rows["bucket"].iloc[0]) << shift
+        first = np.uint64(bucket) << shift
         out = []
         for packet, i, j in zip(rows["packet"], bounds[:-1], bounds[1:], strict=True):
             shared = np.flatnonzero(counts[i:j] > 1) + i
             if len(shared):
-                out.append((packet, squeezed(keys[shared] + first), counts[shared].astype(np.uint32).tobytes()))
-        return pd.DataFrame(out, columns=["packet", "keys", "held_by"])
+                held = counts[shared].astype(np.float32)
+                out.append((packet, bucket, squeezed(keys[shared] + first), held.tobytes()))
+        return pd.DataFrame(out, columns=["packet", "bucket", "keys", "held_by"])
 
     dealt = questions.repartition("bucket").sortWithinPartitions("bucket")
     return written(dealt.mapInPandas(answer, ANSWERS), "answers")
 
 
+def copy_groups(answers: DataFrame) -> DataFrame | None:
+    """(node, root, n) of the texts that are connected by equal bands of their sketches, in
+    groups of n texts; written. None if there are no such texts."""
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for nodes, bands in zip(batch["keys"], batch["held_by"], strict=True):
+                named = np.repeat(np.frombuffer(nodes, np.int64), COPY_BANDS)
+                yield pd.DataFrame({"node": named, "key": np.frombuffer(bands, np.int64)})
+
+    rows = answers.filter("bucket < 0").select("keys", "held_by")
+    rows = written(rows.mapInPandas(told, "node long, key long"), "sketches")
+    several = rows.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    links = rows.withColumnRenamed("node", "b").join(several.drop("n"), "key").filter("a <> b")
+    links = written(links.select("a", "b").distinct(), "copies")
+    drop_written(rows)
+    if links.isEmpty():
+        return None
+    roots = written(components(links), "roots")
+    return written(roots.join(roots.groupBy("root").agg(F.count("*").alias("n")), "root"), "copy_groups")
+
+
+def together(n: np.ndarray | int, total: int) -> np.ndarray | float:
+    """How much each further text of a group of n counts: the part of all pairs of texts
+    that are pairs of the group. Nothing in copies, all in what the whole table is made of."""
+    return (n / total) ** 2
+
+
+def counted_once(packets: DataFrame, groups: DataFrame, total: int, bits: int) -> DataFrame:
+    """(bucket, root, once, keys, less): what to take off the numbers of texts that hold
+    shingles, so that each group counts once. Where a row names its group, a part of one,
+    it says what all of them take off, and ``once`` is what is then to be added again."""
+    shift = np.uint64(64 - bits)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, collected, size, at = [], [], 0, None
+        for batch in batches:
+            bounds = np.flatnonzero((batch[["root", "part"]] != batch[["root", "part"]].shift()).any(axis=1))
+            for i, j in zip(bounds, [*bounds[1:], len(batch)], strict=True):
+                here = tuple(batch[["root", "part", "n"]].iloc[i].tolist())
+                if at is not None and here[:2] != at[:2]:
+                    if at[2] > WHOLE:
+                        yield from sent(at[0], 1 - together(at[2], total), [of(held, at[2])])
+                    else:
+                        collected.append(of(held, at[2]))
+                        size += len(collected[-1][0])
+                    held = []
+                at = here
+                held += [np.unique(h) for h in shingles(list(batch["text"].iloc[i:j]))]
+            if size > COLLECTED:
+                yield from sent(-1, 0.0, collected)
+                collected, size = [], 0
+        if at is not None and at[2] > WHOLE:
+            yield from sent(at[0], 1 - together(at[2], total), [of(held, at[2])])
+        elif at is not None:
+            collected.append(of(held, at[2]))
+        if collected:
+            yield from sent(-1, 0.0, collected)
+
+    def of(held: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        if n <= WHOLE:
+            keys, counts = keys[counts > 1], counts[counts > 1] - 1
+        return keys, counts * (1 - together(n, total))
+
+    def sent(root: int, once: float, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
+        keys, less = summed(found)
+        if len(keys):
+            buckets = keys >> shift
+            bounds = [0, *(np.flatnonzero(np.diff(buckets)) + 1), len(keys)]
+            rows = [
+                (int(buckets[i]), root, once, squeezed(keys[i:j]), less[i:j].tobytes())
+                for i, j in zip(bounds[:-1], bounds[1:], strict=True)
+            ]
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in COPIES.split(", ")])
+
+    rows = joined(packets.select("node", "text"), groups, "node")
+    parts = F.ceil(F.col("n") / WHOLE)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts)).select("root", "part", "n", "text")
+    dealt = rows.repartition("root", "part").sortWithinPartitions("root", "part")
+    return dealt.mapInPandas(count, COPIES)
+
+
+def summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all, and the sums of their values."""
+    keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([v for _, v in found]), len(keys))
+
+
+def corrected(answers: DataFrame, copies: DataFrame) -> DataFrame:
+    """The answers, less what ``counted_once`` takes off; written."""
+
+    def correct(told: pd.DataFrame, copies: pd.DataFrame) -> pd.DataFrame:
+        if not len(told) or not len(copies):
+            return told
+        found = []
+        for root, rows in copies.groupby("root"):
+            parts = [(widened(k), np.frombuffer(v)) for k, v in zip(rows["keys"], rows["less"], strict=True)]
+            keys, less = summed(parts)
+            found.append((keys, less - rows["once"].iloc[0]))
+        keys, less = summed(found)
+        held_by = []
+        for own, held in zip(told["keys"], told["held_by"], strict=True):
+            own, held = widened(own), np.frombuffer(held, np.float32).copy()
+            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            same = keys[at] == own
+            held[same] -= less[at[same]]
+            held_by.append(held.tobytes())
+        return told.assign(held_by=held_by)
+
+    both = answers.groupBy("bucket").cogroup(copies.groupBy("bucket"))
+    return written(both.applyInPandas(correct, ANSWERS), "counted")
+
+
 def shared_shingles(packets: DataFrame) -> tuple[DataFrame, int]:
     """The answers to all packets, and the number of texts."""
     total, size = packets.agg(F.count("*"), F.sum(F.length("text"))).first()
     bits = max(math.ceil(math.log2((size or 0) / CHARACTERS / BUCKET + 1)), LEAST_BITS)
-    return answered(asked(packets, bits), bits), total
+    told = answered(asked(packets, bits), bits)
+    groups, answers = copy_groups(told), told.filter("bucket >= 0")
+    if groups is not None:
+        answers = corrected(answers, counted_once(packets, groups, total, bits))
+        drop_written(told)
+        told = answers
+    answers = answers.select("packet", "keys", "held_by")
+    answers._written_at = told._written_at
+    return answers, total
 
 
 def weights_of(answers: pd.DataFrame, total: int) -> Weights:
@@ -293,7 +488,7 @@ def weights_of(answers: pd.DataFrame, total: int) -> Weights:
     if not len(answers):
         return Weights(np.zeros(0, np.uint64), np.zeros(0), total)
     keys = np.concatenate([widened(x) for x in answers["keys"]])
-    held_by = np.concatenate([np.frombuffer(x, np.uint32) for x in answers["held_by"]])
+    held_by = np.concatenate([np.frombuffer(x, np.float32) for x in answers["held_by"]])
     keys, at = np.unique(keys, return_index=True)
     return Weights(keys, held_by[at] / total, total)
 

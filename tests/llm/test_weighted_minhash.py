@@ -273,3 +273,50 @@ def test_large_tables_are_deleted_once_the_classes_are_known(spark, docs):
     left = {p.name.split("-")[0] for p in set(folder.glob("*")) - before}
     assert not left & {"packets", "answers", "signed", "blocks", "candidates", "sets"}
     assert {r.doc_id: r.class_id for r in found.collect()} == {**dict.fromkeys(range(6), 0), 10: 10}
+
+
+@pytest.mark.parametrize(("most", "whole"), [(w.MOST_CANDIDATES, w.WHOLE), (0, 7)])
+def test_near_copies_in_a_large_group_are_found(docs, monkeypatch, most, whole):
+    """Sixty copies, no two with 0.8 of their weights in common if each counts by itself."""
+    monkeypatch.setattr(w, "MOST_CANDIDATES", most)
+    monkeypatch.setattr(w, "WHOLE", whole)
+    rng = random.Random(25)
+    rows = [(i, text(rng, rng.randrange(10, 60))) for i in range(1, 500)]
+    base = text(rng, 300)
+    copies = [changed(base, 3, rng) for _ in range(60)]
+    rows += [(1000 + i, t) for i, t in enumerate(copies)]
+    pair = text(rng, 90)
+    rows += [(2000, pair), (2001, changed(pair, 1, rng)), (2002, base[: len(base) // 3])]
+    total, held = len(rows), counted(t for _, t in rows)
+    weigh = w.common_shingles(docs(rows))
+    shares = dict(zip(weigh.keys.tolist(), weigh.idf.tolist(), strict=True))
+    assert set(shares) == {key for key, n in held.items() if n > 1}
+    of_base, of_pair = (set(next(shingles([t])).tolist()) for t in (base, pair))
+    in_copies = counted(copies)
+    apart = counted(t for i, t in rows if not 1000 <= i < 2000)
+    for key in of_base & set(shares):
+        n = in_copies.get(key, 0)
+        by_groups = apart.get(key, 0) + (1 + (n - 1) * w.together(60, total) if n else 0)
+        assert shares[key] == pytest.approx(float(w.idf_of(np.float64(by_groups / total))), rel=1e-5)
+    alone = float(w.idf_of(np.float64(1 / total)))
+    assert [shares[k] for k in of_pair & set(shares)] == pytest.approx([alone] * len(of_pair & set(shares)), rel=1e-4)
+    found = {r.doc_id: r.class_id for r in w.near_duplicates(docs(rows)).collect()}
+    assert found == brute(rows, weigh)
+    assert {found[1000 + i] for i in range(60)} == {1000} and found[2002] == 2002
+    each = w.Weights(np.array(sorted(shares), np.uint64), np.array([held[k] / total for k in sorted(shares)]), total)
+    sets = [each(h) for h in shingles(copies)]
+    assert max(w.weighted_jaccard(sets[i], sets[j]) for i in range(60) for j in range(i)) < w.SIMILARITY
+
+
+def test_samples_of_texts_that_all_or_none_share():
+    """Sets of light weights only, of heavy ones only, and of one shingle."""
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 2**63, 900, dtype=np.uint64))
+    for weight in (0.3, 1.0, 2.5):
+        a, b = (keys[:600], np.full(600, weight)), (keys[100:700], np.full(600, weight))
+        both = w.signatures([a, (keys[:1], np.array([weight])), b])
+        agree = (both[0] == both[2]).mean()
+        assert abs(agree - 500 / 700) < 4 * np.sqrt(0.2 / w.SAMPLES)
+        assert (both[1] >> np.uint64(8) == keys[0] >> np.uint64(32)).all()
+        names = set((keys >> np.uint64(32)).tolist())
+        assert set((both >> np.uint64(8)).ravel().tolist()) <= names
