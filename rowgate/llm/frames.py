@@ -6,14 +6,13 @@ import functools
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.session import checkpoint_root
+from rowgate.session import checkpoint_root, shuffles_dropped
 
 # A row of the small frames joined here takes under 1 KB, so a broadcast stays
 # below 20 MB. Larger frames are joined by shuffle.
@@ -65,19 +64,6 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/rowgate-llm/{label}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what is written meanwhile go when it is; else they stay until the
-    driver happens to collect its garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """``df`` as a table in the shared folder: computed once, lineage cut.
 
@@ -87,7 +73,7 @@ def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    with _shuffles_dropped(spark):
+    with shuffles_dropped(spark):
         df.write.option("compression", codec).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._written_at = path

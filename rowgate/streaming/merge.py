@@ -170,9 +170,11 @@ def merge_batch(
             "left_semi",
         )
         if not matching.isEmpty():
-            source = hold(with_month(upsert.merge_source(merging, arrival=["arrival"])))
+            # Not cached: that would be one more copy of all rows of the batch. The months
+            # are those of all rows, also of such that a later one replaces.
+            source = with_month(upsert.merge_source(merging, arrival=["arrival"]))
             target = touched_partitions(
-                read_table(spark, warehouse.curated), source, "period_month"
+                read_table(spark, warehouse.curated), with_month(merging), "period_month"
             )
             merged = upsert.upsert(
                 target, source, "record_id", energy.UPDATED_COLUMNS, as_of
